@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from types import ModuleType
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession
 
 _own_dirs: dict[str, str] = {}
 
@@ -41,8 +41,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
+def worker_state() -> dict:
+    """What a Python worker keeps between its tasks (tokenizers, caches of bounded size)."""
+    return sys.modules.setdefault("_statloom_worker", ModuleType("_statloom_worker")).__dict__
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

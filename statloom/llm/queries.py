@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import near_dup, packing
+from . import fingerprint, language_id, near_dup, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,13 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    # the mark is a function of the id that the prediction returns, so no join
+    return language_id.predict(docs, model).select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -50,9 +57,16 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach USING (doc_id) GROU
 """
 
 
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 QUERIES = {
     "op6_packing": op6_packing,
+    "op8_language_id": op8_language_id,
     "op9_minhash": op9_minhash,
+    "op10_fingerprint": op10_fingerprint,
 }
 
 ORACLES: dict[str, str] = {
