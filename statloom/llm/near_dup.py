@@ -12,8 +12,8 @@ Nothing here grows with the square of a group:
 * in every bucket only the pairs with its best-connected node (the one that meets most others over
   all its buckets) are confirmed first, on full sets;
 * buckets that end up in one component are done; in the others the remaining pairs across components
-  are compared by their signatures in bounded blocks, and those that may reach the threshold (5.5
-  standard deviations of the estimate are allowed for) are confirmed, too.
+  are compared on halved hashes of their sets, in bounded blocks, and those that may reach the
+  threshold are confirmed, too.
 """
 
 from __future__ import annotations
@@ -30,10 +30,9 @@ from .graph import components
 
 PERMUTATIONS, BAND = 100, 5
 BANDS = 2 * PERMUTATIONS // BAND
-_SLACK = 0.17
 #: Rows that are broadcast at most (some tens of MB); more are joined by a shuffle.
 BROADCAST_ROWS = 600_000
-_BLOCK, _CHUNK, _CACHE = 2048, 4096, 300_000
+_BLOCK, _CHUNK, _CACHE = 1024, 4096, 300_000
 
 
 class _Hashes(dict):
@@ -74,13 +73,13 @@ def shingle_set(text: bytes | None, cache: _Hashes, words: int = 5) -> np.ndarra
 
 
 def signature(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest image under each permutation ``x -> a * x + b``, then the largest ones."""
+    """Smallest and largest image under each permutation ``x -> a * x + b``, side by side."""
     low = high = None
     for k in range(0, len(shingles), _CHUNK):
         images = a[:, None] * shingles[None, k : k + _CHUNK] + b[:, None]
         lo, hi = images.min(axis=1), images.max(axis=1)
         low, high = (lo, hi) if low is None else (np.minimum(low, lo), np.maximum(high, hi))
-    return np.concatenate([low, high])
+    return np.stack([low, high], axis=1).ravel()
 
 
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +88,7 @@ def _permutations() -> tuple[np.ndarray, np.ndarray]:
 
 def band_keys(values: np.ndarray) -> np.ndarray:
     """A signed 64-bit key for each band."""
-    rows = values.reshape(PERMUTATIONS, 2, order="F").reshape(BANDS, BAND)  # both values of a permutation side by side
+    rows = values.reshape(BANDS, BAND)
     keys = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(BAND):
         keys = _mix(keys * np.uint64(0x9E3779B97F4A7C15) + rows[:, k])
@@ -101,26 +100,24 @@ def _text_column(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n`` (size of the set), ``set_key`` (128-bit digest), ``bands``, ``sketch`` (a byte of each value)."""
+    """``doc_id, n`` (size of the set), ``set_key`` (128-bit digest) and ``bands``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, (a, b) = _Hashes(), _permutations()
         for batch in batches:
-            sizes, keys, bands, sketches = [], [], [], []
+            sizes, keys, bands = [], [], []
             for text in _text_column(batch, "text"):
                 s = shingle_set(text, cache)
                 sizes.append(len(s))
                 if not len(s):
-                    keys.append(None), bands.append(None), sketches.append(None)
+                    keys.append(None), bands.append(None)
                     continue
-                values = signature(s, a, b)
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                bands.append(band_keys(values))
-                sketches.append((values >> np.uint64(56) ^ values >> np.uint64(20)).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())], names=["doc_id", "n", "set_key", "bands", "sketch"])
+                bands.append(band_keys(signature(s, a, b)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n", "set_key", "bands"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, set_key binary, bands array<long>, sketch binary")
+    return rows.mapInArrow(run, "doc_id long, n long, set_key binary, bands array<long>")
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -165,36 +162,65 @@ def confirmed(docs: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
     return rows.repartition("a", "part").sortWithinPartitions("a", "part", "kind").mapInArrow(run, "a long, b long")
 
 
+def _halved(docs: DataFrame) -> DataFrame:
+    """``id, half``: the upper 32 bits of a document's hashes."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = _Hashes()
+        for batch in batches:
+            half = [(shingle_set(t, cache) >> np.uint64(32)).astype("<u4").tobytes() for t in _text_column(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(half, pa.binary())], names=["id", "half"])
+
+    return docs.mapInArrow(run, "id long, half binary")
+
+
+def _likely(held: list[tuple], at: tuple, share: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Of the nodes of one bucket, or of two blocks of it, those pairs across components that may reach the threshold."""
+    band = held[0][0]
+    ids, comps, sides = (np.array([h[k] for h in held], dtype=np.int64) for k in (1, 2, 5))
+    bands = np.array([h[3][:band] for h in held], dtype=np.int64).reshape(len(held), band)
+    sets = [np.frombuffer(h[4], dtype="<u4") for h in held]
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    names, where = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(sizes)
+    mark = np.zeros(len(names), dtype=np.int64)
+    found, counts = np.unique(comps, return_counts=True)
+    major, across = found[counts.argmax()], at[1] != at[2]
+    for k in range(len(held)):
+        if comps[k] == major:  # its pairs come from the others
+            continue
+        may = (comps != comps[k]) & ((comps == major) | (np.arange(len(held)) > k)) & (100 * np.minimum(sizes, sizes[k]) >= share * np.maximum(sizes, sizes[k]))
+        if across:
+            may &= sides != sides[k]
+        if band:
+            may &= ~(bands == bands[k]).any(axis=1)
+        if not may.any():
+            continue
+        mark[where[ends[k] - sizes[k] : ends[k]]] = 1
+        both = np.add.reduceat(mark[where], ends - sizes) + 2  # room for hashes that are equal by their upper half only
+        mark[where[ends[k] - sizes[k] : ends[k]]] = 0
+        may &= 100 * both >= share * (sizes + sizes[k] - both)
+        if may.any():
+            yield int(ids[k]), ids[may]
+
+
 def _across(members: DataFrame, share: int) -> DataFrame:
-    """Pairs of a bucket in different components whose signatures allow the threshold.
+    """Pairs of a bucket in different components that may reach the threshold.
 
-    ``members``: ``key, id, comp, n, sketch``. A bucket of more than ``_BLOCK`` nodes is dealt to pairs of blocks.
+    ``members``: ``key, band, id, comp, bands, half``. A bucket of more than ``_BLOCK`` nodes is dealt to
+    pairs of blocks. A pair comes from the first of its common buckets only.
     """
     sizes = members.groupBy("key").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
     rows = members.join(sizes, "key").withColumn("mine", F.expr("int(pmod(xxhash64(id), blocks))"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.expr("int(mine > other)").alias("side"), "id", "comp", "n", "sketch")
+    rows = rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.expr("int(mine > other)").alias("side"), "band", "id", "comp", "bands", "half")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if len(held) < 2:
-                return
-            ids, comps, sizes, sides = (np.array([h[k] for h in held], dtype=np.int64) for k in (0, 1, 2, 4))
-            sketch = np.frombuffer(b"".join(h[3] for h in held), dtype=np.uint8).reshape(len(held), -1)
-            across = at[1] != at[2]
-            for k in range(len(held) - 1):
-                rest = slice(k + 1, None)
-                may = (comps[rest] != comps[k]) & (100 * np.minimum(sizes[rest], sizes[k]) >= share * np.maximum(sizes[rest], sizes[k]))
-                if across:
-                    may &= sides[rest] != sides[k]
-                may = np.flatnonzero(may) + k + 1
-                if len(may):
-                    may = may[(sketch[may] == sketch[k]).mean(axis=1) >= share / 100 - _SLACK]
-                    for s in range(0, len(may), 8192):
-                        o = ids[may[s : s + 8192]]
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(o, ids[k])), pa.array(np.maximum(o, ids[k]))], names=["a", "b"])
+            for one, others in _likely(held, at, share) if len(held) > 1 else ():
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(others, one)), pa.array(np.maximum(others, one))], names=["a", "b"])
 
         for batch in batches:
             for key, i, j, side, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -219,12 +245,12 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     seen = materialise(signatures(docs), "signatures")
     sets = seen.where("n > 0 and doc_id is not null")
-    nodes = sets.groupBy("set_key").agg(F.min("doc_id").alias("id"), *(F.min_by(c, "doc_id").alias(c) for c in ("n", "bands", "sketch")))
+    nodes = sets.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"))
     nodes = materialise(nodes, "nodes")
 
-    buckets = nodes.select("id", F.explode("bands").alias("key"))
+    buckets = nodes.select("id", F.posexplode("bands").alias("band", "key"))
     shared = materialise(buckets.groupBy("key").agg(F.count("*").alias("met")).where("met > 1"), "buckets")
-    members = materialise(buckets.join(small(shared), "key"), "members").distinct()
+    members = materialise(buckets.join(small(shared), "key"), "members")
     degrees = members.groupBy("id").agg(F.sum("met").alias("degree"))
     leaders = members.join(degrees, "id").groupBy("key").agg(F.max(F.struct("degree", F.negative("id").alias("minus"))).alias("top"))
     leaders = leaders.select("key", F.negative("top.minus").alias("a"))
@@ -233,9 +259,11 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
     links = materialise(confirmed(docs, first, share), "links")
     found = components(links)
 
-    placed = materialise(members.join(found, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp")), "placed")
+    placed = materialise(members.join(found, "id", "left").select("key", "band", "id", F.coalesce("comp", "id").alias("comp")), "placed")
     open_ = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
-    rest = placed.join(open_, "key", "left_semi").join(nodes.select("id", "n", "sketch"), "id").select("key", "id", "comp", "n", "sketch")
+    rest = materialise(placed.join(open_, "key", "left_semi"), "open")
+    halves = materialise(_halved(docs.join(small(materialise(rest.select(F.col("id").alias("doc_id")).distinct(), "ids")), "doc_id")), "halves")
+    rest = rest.join(nodes.select("id", "bands"), "id").join(halves, "id").select("key", "band", "id", "comp", "bands", "half")
     tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = materialise(_across(rest, share).join(tried, ["a", "b"], "left_anti"), "pairs")
     if not second.isEmpty():
