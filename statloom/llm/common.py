@@ -5,8 +5,10 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 from types import ModuleType
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _own_dirs: dict[str, str] = {}
@@ -41,6 +43,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches small enough for lists of Python objects."""
+    return (b.slice(k, rows) for b in batches for k in range(0, b.num_rows, rows))
+
+
 def worker_state() -> dict:
     """What a Python worker keeps between its tasks (tokenizers, caches of bounded size)."""
     return sys.modules.setdefault("_statloom_worker", ModuleType("_statloom_worker")).__dict__

@@ -11,13 +11,13 @@ from __future__ import annotations
 import re
 import uuid
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialise, worker_state
+from .common import materialise, slices, worker_state
 
 LONGEST = 4
 _WORD = re.compile(r"[^\W\d_]+")
@@ -125,6 +125,19 @@ class Scorer:
         return self.langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum())
 
 
+def _answers(docs: DataFrame, model: Model) -> Callable[[list[str | None]], list[tuple[str, float]]]:
+    """For texts on an executor: language and confidence."""
+    sent, uid = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+
+    def answers(texts: list[str | None]) -> list[tuple[str, float]]:
+        state = worker_state()
+        if state.get("scorer", (None,))[0] != uid:
+            state["scorer"] = (uid, Scorer(sent.value))
+        return list(map(state["scorer"][1].document, texts))
+
+    return answers
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, lang_pred, score``.
 
@@ -133,15 +146,22 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     an empty table gives no rows; other columns are not read; texts count whole. The model is
     bounded by the limits of ``fit`` and broadcast.
     """
-    sent, uid = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    answers = _answers(docs, model)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = worker_state()
-        if state.get("scorer", (None,))[0] != uid:
-            state["scorer"] = (uid, Scorer(sent.value))
-        scorer = state["scorer"][1]
-        for batch in (b.slice(k, 1024) for b in batches for k in range(0, b.num_rows, 1024)):
-            found = [scorer.document(t) for t in batch.column(1).to_pylist()]
+        for batch in slices(batches):
+            found = answers(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def select(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The documents with a language and a confidence of ``least`` or more, with all their columns."""
+    answers = _answers(docs, model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield batch.filter(pa.array([lang != "und" and score >= least for lang, score in answers(batch.column(text_col).to_pylist())], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -5,13 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprint, language_id, near_dup, packing
+from . import fingerprint, language_id, near_dup, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), quality.grade(), top=2)
+    return quality.score(docs, model, wanted=2)
+
+
 def packed(docs: DataFrame) -> DataFrame:
     pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -63,6 +69,7 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_quality": op4_quality,
     "op6_packing": op6_packing,
     "op8_language_id": op8_language_id,
     "op9_minhash": op9_minhash,
