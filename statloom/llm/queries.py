@@ -5,19 +5,59 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import fingerprint, language_id, near_dup, packing, quality
+from . import fingerprint, language_id, licenses, near_dup, neighbours, packing, quality, sharding
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    starts = F.col("base.first_word")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(F.col("base.label")).alias("base_labels"),
+        joined(F.concat("base.label", "detections.label")).alias("labels"),
+        F.coalesce(F.array_max("detections.confidence"), F.lit(0.0)).alias("score"),
+    )
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard(table(spark, sf_dir, "documents"), 8)
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), quality.grade(), top=2)
     return quality.score(docs, model, wanted=2)
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+OP5 = """
+WITH v AS (
+  SELECT vec_id, min(embedding::DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+  GROUP BY vec_id),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+
 def packed(docs: DataFrame) -> DataFrame:
     pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -69,7 +109,10 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_licenses": op2_licenses,
+    "op3_sharding": op3_sharding,
     "op4_quality": op4_quality,
+    "op5_neighbours": op5_neighbours,
     "op6_packing": op6_packing,
     "op8_language_id": op8_language_id,
     "op9_minhash": op9_minhash,
@@ -77,5 +120,6 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op5_neighbours": OP5,
     "op9_minhash": OP9,
 }
