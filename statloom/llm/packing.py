@@ -13,6 +13,7 @@ Work happens in the tasks that scan the documents: there is no shuffle, a task h
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 from collections.abc import Iterable, Iterator
@@ -22,14 +23,20 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from .common import slices, worker_state
+
 #: The code points that the pre-tokenizer's ``\s`` takes as white space (Unicode White_Space); fixed values.
 WHITE = "\t-\r \x85\xa0  -     　"
-#: Byte-level BPE never merges across these chunks: a run of other characters with the one space
-#: before it, white space up to the last of its run, or that last one.
-_CHUNK = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
-_CACHE = 500_000
-#: Characters of text whose chunks are held at once, and of missing chunks in one text for the tokenizer.
-_STEP, _JOIN = 1_000_000, 4_000
+#: Letters of Latin scripts, of which most texts here consist; a range of letters only.
+_LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
+#: The pre-tokenizer always splits between these chunks: Latin letters that ASCII or white space
+#: follows, with the one space before them; another run without white space, likewise; white space up
+#: to the last of its run; that last one.
+_CHUNK = re.compile(f" ?[{_LATIN}]+(?![^{WHITE}\x00-\x40\x5b-\x60\x7b-\x7f])| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
+_WORD = re.compile(f" ?[{_LATIN}]+")
+_CACHE, _SHORT = 600_000, 8
+#: Characters of text whose chunks are held at once; words in one text for the tokenizer.
+_STEP, _JOIN = 1_000_000, 400
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -37,18 +44,21 @@ PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 class ChunkEncoder:
     """Token ids of whole texts by the ``tokenizers`` library, which sees each distinct chunk once.
 
-    Unknown chunks are joined into longer texts for the library; as its pre-tokenizer splits at
-    chunk borders anyway, the ids of each chunk are found again by the bytes of the tokens. The
-    cache holds about ``_CACHE`` chunks and starts anew when it is full.
+    Unknown words go to the library many at a time, kept apart by a character that its pre-tokenizer
+    removes; which ids belong to which word is told by the bytes of the tokens. The cache holds about
+    ``_CACHE`` chunks; when it is full, all but the short ones are forgotten.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.any_text = self.tokenizer.pre_tokenizer
+        # words are pre-tokens already
+        self.words = pre_tokenizers.Sequence([pre_tokenizers.Split("\0", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         # a byte-level token has one character for each byte
         self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], dtype=np.int64)
         self.cache: dict[str, bytes] = {}
@@ -70,31 +80,26 @@ class ChunkEncoder:
         cache = self.cache
         for chunks in held:
             yield b"".join([cache[c] for c in chunks])
-        if len(cache) > _CACHE:
-            self.cache = {}
+        if len(cache) > _CACHE:  # short chunks come back more often
+            self.cache = {c: ids for c, ids in cache.items() if len(c) <= _SHORT}
+            if len(self.cache) > _CACHE // 2:
+                self.cache = {}
 
     def _learn(self, missing: set[str]) -> None:
-        texts, groups, group, chars = [], [], [], 0
+        words, others = [], []
         for c in missing:
-            if c.isspace():
-                self.cache[c] = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes()
-                continue
-            group.append(c)
-            chars += len(c)
-            if chars > _JOIN:
-                groups.append(group)
-                group, chars = [], 0
-        groups.append(group)
-        # a chunk without its own space gets a line break in front, always a token of its own
-        texts = ["".join([c if c[0] == " " else "\n" + c for c in g]) for g in groups]
-        for g, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            (words if _WORD.fullmatch(c) else others).append(c)
+        self.tokenizer.pre_tokenizer = self.any_text
+        for c, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            self.cache[c] = np.array(e.ids, dtype="<u4").tobytes()
+        self.tokenizer.pre_tokenizer = self.words
+        groups = [words[k : k + _JOIN] for k in range(0, len(words), _JOIN)]
+        for g, e in zip(groups, self.tokenizer.encode_batch_fast(["\0".join(g) for g in groups], add_special_tokens=False), strict=True):
             ids = np.array(e.ids, dtype="<u4")
-            ends = np.cumsum(self.sizes[ids])
-            bare = np.array([c[0] != " " for c in g], dtype=np.int64)
-            till = np.searchsorted(ends, np.cumsum(np.array([len(c.encode()) for c in g], dtype=np.int64) + bare), side="left") + 1
+            till = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(c.encode()) for c in g])) + 1
             raw, at = ids.tobytes(), 0
-            for c, skip, end in zip(g, bare.tolist(), till.tolist(), strict=True):
-                self.cache[c] = raw[4 * (at + skip) : 4 * end]
+            for c, end in zip(g, (4 * till).tolist(), strict=True):
+                self.cache[c] = raw[at:end]
                 at = end
 
 
@@ -157,7 +162,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, lin
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(tokenizer)
+        state = worker_state()
+        encoder = state.get(("encoder", tokenizer)) or state.setdefault(("encoder", tokenizer), ChunkEncoder(tokenizer))
         end = np.array([end_id], dtype="<u4").tobytes()
         base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         held: list[tuple[int | None, bytes]] = []
@@ -175,7 +181,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, lin
                 columns = zip(*rows[k : k + 4096], strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_NAMES)
 
-        for batch in batches:
+        gc.disable()  # nothing here makes reference cycles, and the cache is long to walk
+        for batch in slices(batches, 256):
             ids = batch.column(0).to_pylist()
             for doc_id, raw in zip(ids, encoder.encode(t or "" for t in batch.column(1).to_pylist()), strict=True):
                 held.append((doc_id, raw + end))
@@ -183,6 +190,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, lin
                 if tokens >= window_tokens:
                     yield from flush()
         yield from flush()
+        gc.enable()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
 
