@@ -9,7 +9,7 @@ def cut_utf8(text: Column, size: int) -> Column:
     """The longest beginning of at most ``size`` bytes that ends with a whole character."""
     raw = F.encode(text, "UTF-8")
     tries = [F.try_validate_utf8(F.substring(raw, 1, size - k).cast("string")) for k in range(min(4, size))]
-    return F.when(F.octet_length(text) <= size, text).otherwise(F.coalesce(*tries, F.lit(""))) if size else F.lit("")
+    return F.when(F.octet_length(text) <= size, text).when(text.isNotNull(), F.coalesce(*tries, F.lit("")))
 
 
 def width(text: Column) -> Column:

@@ -45,9 +45,9 @@ class FileReader(DataSourceReader):
         self.path, self.family = options["path"], family
         self.encoding = options.get("encoding")
         self.columns = json.loads(options["columns"]) if "columns" in options else None
-        self.offset, self.limit = int(options.get("rowOffset", 0)), int(options.get("rowLimit", 0))
+        self.offset, self.limit = int(options.get("rowoffset", 0)), int(options.get("rowlimit", 0))
         self.tags = options.get("tags", "false") == "true"
-        self.size = int(options.get("rowsPerPartition", 1_000_000))
+        self.size = int(options.get("rowsperpartition", 1_000_000))
 
     def partitions(self) -> list[Rows]:
         d = load_dictionary(self.path, self.family, self.encoding)
@@ -82,7 +82,7 @@ class SavSource(DataSource):
         return raw_schema(load_dictionary(o["path"], self.family, o.get("encoding")), columns, o.get("tags", "false") == "true")
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return FileReader(dict(self.options), self.family)
+        return FileReader({k.lower(): v for k, v in self.options.items()}, self.family)
 
 
 class DtaSource(SavSource):
