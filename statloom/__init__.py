@@ -8,7 +8,7 @@ from .errors import StatError, StatWarning
 from .formats import SavCompression, TextLimitPolicy
 from .metadata import Alignment, Code, Measure, Metadata, Missingness, MissingRange, MissingValues, Value, attach, detach
 from .sources.datasource import register
-from .sources.files import DtaWriter, SavWriter, read_dta, read_dta_metadata, read_sav, read_sav_metadata, write_dta, write_sav
+from .sources.files import DtaWriter, SavWriter, read_dta, read_dta_metadata, read_sav, read_sav_metadata, write_dta, write_parts, write_sav
 from .streaming.batches import DtaStreamingReader, SavStreamingReader, StatReader, open_dta, open_sav
 
 __version__ = "0.1.0"
@@ -16,7 +16,8 @@ __version__ = "0.1.0"
 __all__ = [
     "Alignment", "Code", "DtaStreamingReader", "DtaWriter", "Measure", "Metadata", "MissingRange", "MissingValues", "Missingness",
     "SavCompression", "SavStreamingReader", "SavWriter", "StatError", "StatReader", "StatWarning", "TextLimitPolicy", "Value", "attach",
-    "detach", "open_dta", "open_sav", "read_dta", "read_dta_metadata", "read_sav", "read_sav_metadata", "register", "write_dta", "write_sav",
+    "detach", "open_dta", "open_sav", "read_dta", "read_dta_metadata", "read_sav", "read_sav_metadata", "register", "write_dta", "write_parts",
+    "write_sav",
 ]
 
 # functions that run on executors travel with the job, so the executors need no installation

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import glob
 import json
+import os
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,9 +18,26 @@ from .base import KINDS, Dictionary, open_path
 CODECS = {"sav": sav, "dta": dta}
 
 
+def parts(path: str, family: str) -> list[str]:
+    """The file itself, or the part files of a folder in order."""
+    if not os.path.isdir(path):
+        return [path]
+    found = sorted(glob.glob(os.path.join(glob.escape(path), f"part-*.{family}")))
+    if not found:
+        raise StatError(f"{path}: no part files")
+    return found
+
+
 def load_dictionary(path: str, family: str, encoding: str | None = None) -> Dictionary:
+    """The dictionary of a file, or of the first part in a folder with the rows of all."""
     try:
-        with open_path(path) as file:
+        first, *rest = parts(path, family)
+        if rest:
+            d = load_dictionary(first, family, encoding)
+            counts = [d.rows, *(load_dictionary(p, family, encoding).rows for p in rest)]
+            d.rows = None if None in counts else sum(counts)
+            return d
+        with open_path(first) as file:
             return CODECS[family].read_dictionary(file, encoding)
     except OSError as e:
         raise StatError(f"{path}: {e.strerror or e}") from e
@@ -36,8 +55,8 @@ def raw_schema(d: Dictionary, columns: list[str] | None, tags: bool) -> T.Struct
 
 
 class Rows(InputPartition):
-    def __init__(self, first: int, count: int):
-        self.first, self.count = first, count
+    def __init__(self, path: str, first: int, count: int):
+        self.path, self.first, self.count = path, first, count
 
 
 class FileReader(DataSourceReader):
@@ -50,17 +69,23 @@ class FileReader(DataSourceReader):
         self.size = int(options.get("rowsperpartition", 1_000_000))
 
     def partitions(self) -> list[Rows]:
-        d = load_dictionary(self.path, self.family, self.encoding)
-        if d.rows is None:
-            return [Rows(self.offset, self.limit or -1)]
-        end = min(d.rows, self.offset + self.limit) if self.limit else d.rows
-        count = max(0, end - self.offset)
-        if not d.splittable():
-            return [Rows(self.offset, count)]
-        return [Rows(k, min(self.size, end - k)) for k in range(self.offset, end, self.size)] or [Rows(0, 0)]
+        """Ranges of rows, of each file in turn; a negative count means all that follow."""
+        out: list[Rows] = []
+        skip, left = self.offset, self.limit or None
+        for path in parts(self.path, self.family):
+            d = load_dictionary(path, self.family, self.encoding)
+            if d.rows is None:
+                return [*out, Rows(path, skip, -1 if left is None else left)]
+            first = min(skip, d.rows)
+            count = d.rows - first if left is None else min(d.rows - first, left)
+            skip -= first
+            left = None if left is None else left - count
+            step = self.size if d.splittable() else max(count, 1)
+            out += [Rows(path, k, min(step, first + count - k)) for k in range(first, first + count, step)]
+        return out or [Rows(path, 0, 0)]
 
     def read(self, partition: Rows) -> Iterator[pa.RecordBatch]:
-        with open_path(self.path) as file:
+        with open_path(partition.path) as file:
             d = CODECS[self.family].read_dictionary(file, self.encoding)
             names = [v.name for v in d.variables if self.columns is None or v.name in self.columns]
             if partition.count:

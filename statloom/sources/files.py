@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import json
 import os
 import tempfile
@@ -11,10 +12,11 @@ from collections.abc import Iterable, Iterator
 from typing import Any, BinaryIO
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..errors import StatError, StatWarning
-from ..formats import DTA, SAV, Family, SavCompression, TextLimitPolicy
+from ..formats import DTA, FAMILIES, SAV, Family, SavCompression, TextLimitPolicy
 from ..functions import missing as M, temporal
 from ..metadata import Metadata
 from ..operators.profile import checked_cast, profile
@@ -303,6 +305,36 @@ def write_dta(where: Where, df: DataFrame, metadata: Metadata | None = None, *,
     return _write(where, df, metadata, DTA, "none", rename_invalid_names, on_text_limits_exceeded).renamed
 
 
+def write_parts(folder: str | os.PathLike, df: DataFrame, metadata: Metadata | None = None, *, kind: str = "dta", rename_invalid_names: bool = False, on_text_limits_exceeded: TextLimitPolicy = "error", compression: SavCompression = "none") -> int:
+    """Write every partition of ``df`` as a file of its own into a new folder that all executors share; returns the rows.
+
+    For data that no single file should hold. All parts have one plan, so the folder reads as one table.
+    A part is renamed when whole; a task that runs again replaces its part.
+    """
+    family = FAMILIES[kind]
+    path = local_path(folder)
+    os.makedirs(path)
+    plan = write_plan.plan(df.schema, metadata, family, write_plan.measure(df), rename_invalid_names=rename_invalid_names, on_text_limits_exceeded=on_text_limits_exceeded)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = dataclasses.replace(plan, rows=0)
+        writer = FileWriter(os.path.join(path, f"part-{TaskContext.get().partitionId():06d}.{kind}"), own, compression)
+        try:
+            for batch in batches:
+                own.rows += batch.num_rows
+                writer.append(writer.encode(batch), batch.num_rows)
+            head = dta.header(own, own.rows) if kind == "dta" else sav.header(own, own.rows, writer.level)
+            writer.sink.out.seek(0)
+            writer.sink.out.write(head)  # as long as the one for no rows
+            writer.sink.out.seek(0, os.SEEK_END)
+            writer.close()
+        finally:
+            writer.abandon()
+        yield pa.RecordBatch.from_arrays([pa.array([own.rows], pa.int64())], names=["n"])
+
+    return plan.encode(df).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 class StatWriter:
     """Writes a file from DataFrames handed over one after the other.
 

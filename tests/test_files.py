@@ -261,3 +261,20 @@ def test_long_string_labels(spark, tmp_path):
 def test_encoding_override(spark, tmp_path):
     sl.write_sav(tmp_path / "x", spark.createDataFrame([("é",)], "s string"))
     assert sl.read_sav(spark, tmp_path / "x", encoding="latin-1")[0].first().s == "Ã©"
+
+
+@pytest.mark.parametrize(("kind", "compression"), [("dta", "none"), ("sav", "none"), ("sav", "zlib")])
+def test_a_folder_of_parts_reads_as_one_table(spark, tmp_path, kind, compression):
+    df = spark.range(0, 1000, 1, 5).selectExpr("id AS n", "if(id % 7 = 0, NULL, concat('row ', id)) AS s")
+    meta = sl.Metadata(variable_labels={"n": "number"})
+    assert sl.write_parts(tmp_path / "parts", df, meta, kind=kind, compression=compression) == 1000
+    assert len(list((tmp_path / "parts").iterdir())) == 5
+    read, back = reader(kind)(spark, tmp_path / "parts", row_offset=150, row_limit=700)
+    assert [r.n for r in read.collect()] == list(range(150, 850)) and back.variable_labels == {"n": "number"}
+    everything = reader(kind)(spark, tmp_path / "parts")[0]
+    assert everything.count() == 1000 and everything.where("n = 999").first().s == "row 999"
+    with pytest.raises(FileExistsError):
+        sl.write_parts(tmp_path / "parts", df, kind=kind)
+    (tmp_path / "none").mkdir()
+    with pytest.raises(sl.StatError, match="no part files"):
+        reader(kind)(spark, tmp_path / "none")
