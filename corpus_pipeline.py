@@ -17,7 +17,7 @@ LANGUAGE_LEAST = 0.3
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that are rather of the best grade (good and not toxic) than below it."""
+    """Keeps documents that are clearly of the best grade (good and not toxic)."""
     model = quality.fit(docs, queries.table(spark, sf_dir, "labels"), quality.grade(), top=2)
     return quality.select(docs, model, wanted=2)
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import shuffle_partitions, worker_state
+from .common import shuffle_partitions, small_batches, worker_state
 
 #: The template's markers; fixed values.
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
@@ -77,14 +77,14 @@ def covered(offsets: np.ndarray, chosen: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _tokenizer(path: str):
-    state = worker_state()
-    if ("chat", path) not in state:
+    state = worker_state("chat")
+    if path not in state:
         from tokenizers import AddedToken, Tokenizer
 
         t = Tokenizer.from_file(path)
         t.add_special_tokens([AddedToken(m, special=True, normalized=False) for m in (START, SEP, END)])
-        state["chat", path] = t
-    return state["chat", path]
+        state[path] = t
+    return state[path]
 
 
 def format_conversations(turns: DataFrame, tokenizer: str, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
@@ -96,7 +96,7 @@ def format_conversations(turns: DataFrame, tokenizer: str, id_col: str = "conv_i
     texts are empty; rows without an id are one conversation of a null id; an empty table gives no
     rows; other columns are not read; texts of any length are encoded whole.
     """
-    rows = turns.select(F.col(id_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.spark_partition_id().alias("of"))
+    rows = small_batches(turns).select(F.col(id_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.spark_partition_id().alias("of"))
     order = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "text", "of"]
     rows = rows.repartitionByRange(shuffle_partitions(turns.sparkSession), *order).sortWithinPartitions(*order)
 

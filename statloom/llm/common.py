@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import sys
 import tempfile
 import uuid
@@ -11,6 +14,8 @@ from types import ModuleType
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+ARROW_BYTES = 4 << 20
+
 _own_dirs: dict[str, str] = {}
 
 
@@ -43,14 +48,42 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with Arrow batches of at most ``ARROW_BYTES`` in its session.
+
+    By default a batch goes up to 64 MiB, which each task holds several times over, in and out of Python.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    return df
+
+
 def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches small enough for lists of Python objects."""
-    return (b.slice(k, rows) for b in batches for k in range(0, b.num_rows, rows))
+    """The same rows in batches small enough for lists of Python objects; gives freed memory back as it goes."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+    trim()
 
 
-def worker_state() -> dict:
-    """What a Python worker keeps between its tasks (tokenizers, caches of bounded size)."""
-    return sys.modules.setdefault("_statloom_worker", ModuleType("_statloom_worker")).__dict__
+def trim() -> None:
+    """Give freed memory back, where the C library can, so that a worker's size is what it uses."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def worker_state(owner: str) -> dict:
+    """What a Python worker keeps between the tasks of one operator (tokenizers, models, caches of bounded size).
+
+    The state of the operator before is dropped, so that a worker holds one at a time.
+    """
+    held = sys.modules.setdefault("_statloom_worker", ModuleType("_statloom_worker")).__dict__
+    if held.get("owner") != owner:
+        held["owner"], held["state"] = owner, {}
+        gc.collect()
+        trim()
+    return held["state"]
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -17,11 +17,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import materialise, slices, worker_state
+from .common import materialise, slices, small_batches, worker_state
 
 LONGEST = 4
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHE = 400_000
+_CACHE = 150_000
 
 Model = dict
 
@@ -50,14 +50,15 @@ def fit(labelled: DataFrame, max_docs: int = 6000, max_words: int = 60_000, max_
     are kept, so the model is bounded; its languages are those of the sample. Rows with a null
     text or language teach nothing.
     """
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(id_col).alias("id"))
+    rows = small_batches(labelled).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(id_col).alias("id"))
     total = rows.count()
     if total > max_docs:
         rows = rows.where(F.expr(f"pmod(xxhash64(id), 1000000) < {1_000_000 * max_docs // total}"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("language fit")
         seen: dict[str, Counter] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 seen.setdefault(lang, Counter()).update(tokens(text))
         for lang, words in seen.items():
@@ -127,10 +128,11 @@ class Scorer:
 
 def _answers(docs: DataFrame, model: Model) -> Callable[[list[str | None]], list[tuple[str, float]]]:
     """For texts on an executor: language and confidence."""
+    small_batches(docs)
     sent, uid = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def answers(texts: list[str | None]) -> list[tuple[str, float]]:
-        state = worker_state()
+        state = worker_state("language")
         if state.get("scorer", (None,))[0] != uid:
             state["scorer"] = (uid, Scorer(sent.value))
         return list(map(state["scorer"][1].document, texts))

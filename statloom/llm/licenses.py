@@ -13,7 +13,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices
+from .common import slices, small_batches
 from .license_rules import Rule, rules
 
 #: Base phrases and their labels; fixed values.
@@ -66,4 +66,4 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                 found.append([{"label": a, "first_word": b, "words": c, "confidence": d} for a, b, c, d in detect(line, signatures)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(base, pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64())]))), pa.array(found, pa.list_(DETECTION))], names=["doc_id", "n_words", "base", "detections"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCANNED)
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCANNED)

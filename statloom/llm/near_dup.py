@@ -25,14 +25,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialise
+from .common import materialise, slices, small_batches, worker_state
 from .graph import components
 
 PERMUTATIONS, BAND = 100, 5
 BANDS = 2 * PERMUTATIONS // BAND
 #: Rows that are broadcast at most (some tens of MB); more are joined by a shuffle.
 BROADCAST_ROWS = 600_000
-_BLOCK, _CHUNK, _CACHE = 1024, 4096, 300_000
+_BLOCK, _CHUNK, _CACHE = 1024, 4096, 200_000
 
 
 class _Hashes(dict):
@@ -103,8 +103,9 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """``doc_id, n`` (size of the set), ``set_key`` (128-bit digest) and ``bands``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("near duplicates")  # drops what another operator has left
         cache, (a, b) = _Hashes(), _permutations()
-        for batch in batches:
+        for batch in slices(batches, 1024):
             sizes, keys, bands = [], [], []
             for text in _text_column(batch, "text"):
                 s = shingle_set(text, cache)
@@ -137,7 +138,7 @@ def confirmed(docs: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, at, hub = _Hashes(), None, []
-        for batch in batches:
+        for batch in slices(batches, 1024):
             found: tuple[list[int], list[int]] = ([], [])
             columns = (batch.column(c).to_pylist() for c in ("a", "part", "kind", "doc_id"))
             for a, part, kind, b, text in zip(*columns, _text_column(batch, "text"), strict=True):
@@ -167,7 +168,7 @@ def _halved(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _Hashes()
-        for batch in batches:
+        for batch in slices(batches, 1024):
             half = [(shingle_set(t, cache) >> np.uint64(32)).astype("<u4").tobytes() for t in _text_column(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(half, pa.binary())], names=["id", "half"])
 
@@ -222,7 +223,7 @@ def _across(members: DataFrame, share: int) -> DataFrame:
             for one, others in _likely(held, at, share) if len(held) > 1 else ():
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(others, one)), pa.array(np.maximum(others, one))], names=["a", "b"])
 
-        for batch in batches:
+        for batch in slices(batches, 1024):
             for key, i, j, side, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (key, i, j) != at:
                     yield from flush()
@@ -242,7 +243,7 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
     kept. Rows that repeat an id count as one document for links, and all are returned. An empty
     table gives no rows; other columns are not read; texts of any length count whole.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     seen = materialise(signatures(docs), "signatures")
     sets = seen.where("n > 0 and doc_id is not null")
     nodes = sets.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"))
@@ -271,7 +272,7 @@ def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", te
         found = components(links)
 
     classes = nodes.join(found, "id", "left").select("set_key", F.coalesce("comp", "id").alias("component"))
-    own = F.coalesce("component", "doc_id")
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return (
         seen.join(materialise(classes, "classes"), "set_key", "left")
         .select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))

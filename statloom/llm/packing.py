@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices, worker_state
+from .common import slices, small_batches, worker_state
 
 #: The code points that the pre-tokenizer's ``\s`` takes as white space (Unicode White_Space); fixed values.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -34,9 +34,9 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: to the last of its run; that last one.
 _CHUNK = re.compile(f" ?[{_LATIN}]+(?![^{WHITE}\x00-\x40\x5b-\x60\x7b-\x7f])| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
 _WORD = re.compile(f" ?[{_LATIN}]+")
-_CACHE, _SHORT = 600_000, 8
+_CACHE, _SHORT = 350_000, 8
 #: Characters of text whose chunks are held at once; words in one text for the tokenizer.
-_STEP, _JOIN = 1_000_000, 400
+_STEP, _JOIN = 60_000, 400
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -65,21 +65,22 @@ class ChunkEncoder:
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
-        held: list[list[str]] = []
+        held: list[tuple[list[str], list[bytes | None]]] = []
         chars = 0
         for text in texts:
-            held.append(_CHUNK.findall(text))
+            chunks = _CHUNK.findall(text)
+            held.append((chunks, list(map(self.cache.get, chunks))))
             chars += len(text)
             if chars >= _STEP:
                 yield from self._ids(held)
                 held, chars = [], 0
         yield from self._ids(held)
 
-    def _ids(self, held: list[list[str]]) -> Iterator[bytes]:
-        self._learn({c for chunks in held for c in chunks if c not in self.cache})
+    def _ids(self, held: list[tuple[list[str], list[bytes | None]]]) -> Iterator[bytes]:
         cache = self.cache
-        for chunks in held:
-            yield b"".join([cache[c] for c in chunks])
+        self._learn({c for chunks, ids in held for c, i in zip(chunks, ids, strict=True) if i is None})
+        for chunks, ids in held:
+            yield b"".join([cache[c] if i is None else i for c, i in zip(chunks, ids, strict=True)])
         if len(cache) > _CACHE:  # short chunks come back more often
             self.cache = {c: ids for c, ids in cache.items() if len(c) <= _SHORT}
             if len(self.cache) > _CACHE // 2:
@@ -162,8 +163,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, lin
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = worker_state()
-        encoder = state.get(("encoder", tokenizer)) or state.setdefault(("encoder", tokenizer), ChunkEncoder(tokenizer))
+        state = worker_state("packing")
+        encoder = state.get(tokenizer) or state.setdefault(tokenizer, ChunkEncoder(tokenizer))
         end = np.array([end_id], dtype="<u4").tobytes()
         base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         held: list[tuple[int | None, bytes]] = []
@@ -192,7 +193,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, lin
         yield from flush()
         gc.enable()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
 
 
 _NAMES = [c.split()[0] for c in PIECES.split(", ")]

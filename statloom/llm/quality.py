@@ -23,13 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import slices, worker_state
+from .common import slices, small_batches, worker_state
 
 BITS = 18
 BEGINNINGS = (4, 5, 6)
 _SIGNS = re.compile(r"[^\w\s.,;:'\"()-]{2,}")
 _AROUND = "".join(map(chr, (*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127))))
-_CACHE = 400_000
+_CACHE = 100_000
 
 
 class Model(NamedTuple):
@@ -78,8 +78,42 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, top: int, steps: int = 250, rate: float = 0.05, ridge: float = 1e-4, screen: float = 4.0) -> Model:
-    """Maximum likelihood with a ridge by full-batch Adam; grades are 0 to ``top``.
+def _minimum(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, steps: int, memory: int = 12) -> np.ndarray:
+    """Limited-memory BFGS with backtracking."""
+    value, grad = loss(x)
+    pairs: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(steps):
+        step, parts = -grad, []
+        for s, y, rho in reversed(pairs):
+            parts.append(rho * (s @ step))
+            step = step - parts[-1] * y
+        if pairs:
+            s, y, rho = pairs[-1]
+            step = step / (rho * (y @ y))
+        for (s, y, rho), part in zip(pairs, reversed(parts), strict=True):
+            step = step + (part - rho * (y @ step)) * s
+        slope, size = grad @ step, 1.0 if pairs else min(1.0, 1 / (np.abs(grad).sum() + 1e-12))
+        if slope >= 0:
+            break
+        for _ in range(25):
+            new, new_grad = loss(x + size * step)
+            if new <= value + 1e-4 * size * slope:
+                break
+            size /= 2
+        else:
+            break
+        s, y = size * step, new_grad - grad
+        if s @ y > 1e-12:
+            pairs = [*pairs[-memory + 1 :], (s, y, 1 / (s @ y))]
+        done = value - new < 1e-9
+        x, value, grad = x + s, new, new_grad
+        if done:
+            break
+    return x
+
+
+def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, top: int, steps: int = 120, ridge: float = 1e-4, screen: float = 4.5) -> Model:
+    """Maximum likelihood with a ridge; grades are 0 to ``top``.
 
     The gaps between thresholds are exponentials, so they stay in order. Only features whose rows
     differ from all in the share above some threshold by ``screen`` standard errors get a weight, as
@@ -99,28 +133,24 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, top: int, steps: int
     used, index = np.unique(np.concatenate(rows), return_inverse=True)
     sizes = np.array([len(r) for r in rows])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    n, m = len(rows), len(used)
-    share = [np.clip((grades >= k).mean(), 0.01, 0.99) for k in range(1, top + 1)]
-    cuts = -np.log(np.array(share) / (1 - np.array(share)))
-    params = np.concatenate([np.zeros(m), [cuts[0]], np.log(np.maximum(np.diff(cuts), 0.05))])
-    first, second = np.zeros_like(params), np.zeros_like(params)
-    for step in range(1, steps + 1):
+    n, m, at = len(rows), len(used), np.arange(len(rows))
+    share = np.array([np.clip((grades >= k).mean(), 0.01, 0.99) for k in range(1, top + 1)])
+    cuts = -np.log(share / (1 - share))
+
+    def loss(params: np.ndarray) -> tuple[float, np.ndarray]:
         w, gaps = params[:m], np.exp(params[m + 1 :])
         theta = params[m] + np.concatenate([[0.0], np.cumsum(gaps)])
         f = np.add.reduceat(w[index], starts)
         above = np.concatenate([np.ones((n, 1)), _sigmoid(f[:, None] - theta[None, :]), np.zeros((n, 1))], axis=1)
         slope = above * (1 - above)
-        at = np.arange(n)
-        p = np.maximum(above[at, grades] - above[at, grades + 1], 1e-9)
+        p = np.maximum(above[at, grades] - above[at, grades + 1], 1e-12)
         low, high = slope[at, grades] / p / n, slope[at, grades + 1] / p / n
-        by_f = low - high  # of the mean log likelihood
-        by_theta = np.array([high[grades + 1 == k].sum() - low[grades == k].sum() for k in range(1, top + 1)])
+        by_theta = np.array([low[grades == k].sum() - high[grades + 1 == k].sum() for k in range(1, top + 1)])
         tails = np.cumsum(by_theta[::-1])[::-1]
-        grad = np.concatenate([np.bincount(index, weights=np.repeat(by_f, sizes), minlength=m) - ridge * w, [tails[0]], tails[1:] * gaps])
-        first = 0.9 * first + 0.1 * grad
-        second = 0.999 * second + 0.001 * grad * grad
-        decay = rate * (1 - 0.8 * step / steps)
-        params = params + decay * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        grad = np.concatenate([ridge * w - np.bincount(index, weights=np.repeat(low - high, sizes), minlength=m), [tails[0]], tails[1:] * gaps])
+        return float(-np.log(p).mean() + ridge / 2 * (w @ w)), grad
+
+    params = _minimum(loss, np.concatenate([np.zeros(m), [cuts[0]], np.log(np.maximum(np.diff(cuts), 0.05))]), steps)
     weights[used[:-1]] = params[: m - 1]
     theta = params[m] - params[m - 1] + np.concatenate([[0.0], np.cumsum(np.exp(params[m + 1 :]))])
     return Model(weights.astype(np.float32), theta, uuid.uuid4().hex)
@@ -139,33 +169,35 @@ def fit(docs: DataFrame, ratings: DataFrame, grade: Column, top: int, max_docs:
         rated = rated.where(F.expr(f"pmod(xxhash64(id), 1000000) < {1_000_000 * max_docs // total}"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("quality fit")
         cache = _Words()
-        for batch in batches:
+        for batch in slices(batches):
             found = [np.sort(features(t, cache)).astype("<i4").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("grade"), pa.array(found, pa.binary())], names=["id", "grade", "found"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(rated), "id").select("id", "grade", "text")
+    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(F.broadcast(rated), "id").select("id", "grade", "text")
     table = rows.mapInArrow(run, "id long, grade int, found binary").toArrow().sort_by([("id", "ascending"), ("grade", "ascending")])
     return fit_ordinal([np.frombuffer(x, dtype="<i4") for x in table.column("found").to_pylist()], table.column("grade").to_numpy().astype(np.int64), top)
 
 
 def _above(docs: DataFrame, model: Model) -> Callable[[list[str | None]], np.ndarray]:
     """For texts on an executor: the probabilities of each grade from 1 on, a row per text."""
+    small_batches(docs)
     sent, uid = docs.sparkSession.sparkContext.broadcast(tuple(model)), model.uid
 
     def above(texts: list[str | None]) -> np.ndarray:
-        state = worker_state()
-        if state.get("quality", (None,))[0] != uid:
-            state["quality"] = (uid, sent.value)
-        weights, theta, _ = state["quality"][1]
-        cache = state.setdefault("quality words", _Words())
+        state = worker_state("quality")
+        if state.get("model", (None,))[0] != uid:
+            state["model"] = (uid, sent.value)
+        weights, theta, _ = state["model"][1]
+        cache = state.setdefault("words", _Words())
         f = np.array([weights[np.sort(features(t, cache))].sum(dtype=np.float64) for t in texts])
         return _sigmoid(f[:, None] - theta[None, :])
 
     return above
 
 
-def score(docs: DataFrame, model: Model, wanted: int, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, wanted: int, least: float = 0.65, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, expected_grade, tail`` (probability of grade ``wanted`` or more), ``kept``.
 
     Kept are documents whose tail is ``least`` or more. Null texts are empty texts; repeated rows are
@@ -182,7 +214,7 @@ def score(docs: DataFrame, model: Model, wanted: int, least: float = 0.5, id_col
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, expected_grade double, tail double, kept boolean")
 
 
-def select(docs: DataFrame, model: Model, wanted: int, least: float = 0.5, text_col: str = "text") -> DataFrame:
+def select(docs: DataFrame, model: Model, wanted: int, least: float = 0.65, text_col: str = "text") -> DataFrame:
     """The documents that ``score`` would keep, with all their columns."""
     above = _above(docs, model)
 

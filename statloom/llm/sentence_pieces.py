@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices, worker_state
+from .common import slices, small_batches, worker_state
 
 MARK = "▁"
 #: Kinds of pieces and of models in the protobuf; fixed values.
@@ -176,7 +176,7 @@ def encode(docs: DataFrame, model: str, verify: bool = True, id_col: str = "doc_
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = worker_state()
+        state = worker_state("sentence pieces")
         codec = state.get(("codec", model)) or state.setdefault(("codec", model), Codec(model))
         if verify and ("spm", model) not in state:
             import sentencepiece
@@ -190,4 +190,4 @@ def encode(docs: DataFrame, model: str, verify: bool = True, id_col: str = "doc_
                 same = [np.array_equal(np.frombuffer(a, dtype="<u4"), b) for a, b in zip(found, state["spm", model].encode(texts, num_threads=1), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), pa.array([len(x) // 4 for x in found], pa.int64()), pa.array(map(codec.decode, found), pa.string()), pa.array(same, pa.bool_())], names=["doc_id", "ids", "n_tokens", "decoded", "parity"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary, n_tokens long, decoded string, parity boolean")
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids binary, n_tokens long, decoded string, parity boolean")
