@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices, small_batches, worker_state
+from .common import slices, small_batches, trim, worker_state
 
 #: The code points that the pre-tokenizer's ``\s`` takes as white space (Unicode White_Space); fixed values.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -34,7 +34,7 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: to the last of its run; that last one.
 _CHUNK = re.compile(f" ?[{_LATIN}]+(?![^{WHITE}\x00-\x40\x5b-\x60\x7b-\x7f])| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
 _WORD = re.compile(f" ?[{_LATIN}]+")
-_CACHE, _SHORT = 350_000, 8
+_CACHE, _SHORT = 600_000, 8
 #: Characters of text whose chunks are held at once; words in one text for the tokenizer.
 _STEP, _JOIN = 60_000, 400
 
@@ -46,10 +46,10 @@ class ChunkEncoder:
 
     Unknown words go to the library many at a time, kept apart by a character that its pre-tokenizer
     removes; which ids belong to which word is told by the bytes of the tokens. The cache holds about
-    ``_CACHE`` chunks; when it is full, all but the short ones are forgotten.
+    ``entries`` chunks (some 250 bytes each); when it is full, all but the short ones are forgotten.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = _CACHE):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -62,6 +62,8 @@ class ChunkEncoder:
         # a byte-level token has one character for each byte
         self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], dtype=np.int64)
         self.cache: dict[str, bytes] = {}
+        self.entries = entries
+        trim()  # loading takes more than what is kept
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
@@ -81,9 +83,9 @@ class ChunkEncoder:
         self._learn({c for chunks, ids in held for c, i in zip(chunks, ids, strict=True) if i is None})
         for chunks, ids in held:
             yield b"".join([cache[c] if i is None else i for c, i in zip(chunks, ids, strict=True)])
-        if len(cache) > _CACHE:  # short chunks come back more often
+        if len(cache) > self.entries:  # short chunks come back more often
             self.cache = {c: ids for c, ids in cache.items() if len(c) <= _SHORT}
-            if len(self.cache) > _CACHE // 2:
+            if len(self.cache) > self.entries // 2:
                 self.cache = {}
 
     def _learn(self, missing: set[str]) -> None:
@@ -150,7 +152,7 @@ def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> It
             start += part
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, linear: float = 1.0, quadratic: float = 1 / 512, window_tokens: int = 1 << 21, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, linear: float = 1.0, quadratic: float = 1 / 512, window_tokens: int = 1 << 21, cache_entries: int = _CACHE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pack every document into sequences of at most ``size`` tokens.
 
     One row per piece: ``doc_id, start, length, ids`` (little-endian unsigned 32-bit),
@@ -159,12 +161,12 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, lin
     Null and empty texts are the end id alone; a null id stays null; repeated rows are documents of
     their own; an empty table gives no rows; other columns are not read. Texts of any length are
     encoded whole. Sequences never cross a window of about ``window_tokens`` tokens, so each window
-    adds less than one sequence of padding.
+    adds less than one sequence of padding. Each Python worker keeps the ids of ``cache_entries`` chunks of text.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = worker_state("packing")
-        encoder = state.get(tokenizer) or state.setdefault(tokenizer, ChunkEncoder(tokenizer))
+        encoder = state.get(tokenizer) or state.setdefault(tokenizer, ChunkEncoder(tokenizer, cache_entries))
         end = np.array([end_id], dtype="<u4").tobytes()
         base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         held: list[tuple[int | None, bytes]] = []
