@@ -28,7 +28,7 @@ def test_rename_keeps_places_and_the_original():
     new = old.rename_variable("a", "z")
     assert list(new.variable_labels) == ["z", "b", "c", "d"]
     assert "z" in new.value_labels and "a" in old.value_labels
-    with pytest.raises(ValueError, match="'b' already declares"):
+    with pytest.raises(ValueError, match="'b' has attributes"):
         old.rename_variable("a", "b")
 
 
