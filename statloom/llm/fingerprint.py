@@ -97,10 +97,11 @@ def neighbours(docs: DataFrame) -> tuple[DataFrame, int]:
     return at.withColumn("to", F.explode(F.when(first, F.array(own, before)).otherwise(F.array(own)))).select("doc_id", "text", "to.g", "to.after"), parts
 
 
-def fingerprints(docs: DataFrame, samples: int = SAMPLES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, samples: int = SAMPLES, with_text: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document with the fingerprints of its text and of its text edited at the end.
 
-    ``doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next``. In the edited
+    ``doc_id, n_chars, edited, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``; without
+    ``edited`` unless ``with_text``, as that text is moved once more to meet its fingerprint. In the edited
     text the last ``floor(n_chars / 2)`` code points give way to the first as many (or all) of the next
     document's; documents follow by ascending id (null first, then by text), the first comes after the
     last, so a single document follows itself. Null texts are empty; texts without words are one term
@@ -122,5 +123,5 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, id_col: str = "doc_id"
     follow = Window.partitionBy("g").orderBy("pos", "kind")
     found = found.withColumn("edited_names", F.lead("names").over(follow)).withColumn("next_names", F.lead("names", 2).over(follow)).where("kind = 0")
     found = found.select("g", "pos", as_text(F.col("names")).alias("fingerprint"), as_text(F.col("edited_names")).alias("edited_fingerprint"), likeness(F.col("names"), F.col("edited_names")).alias("near_edited"), likeness(F.col("names"), F.col("next_names")).alias("near_next"))
-    own = rows.where("after = 0").select("g", "pos", "doc_id", n.cast("long").alias("n_chars"), "edited")
+    own = rows.where("after = 0").select("g", "pos", "doc_id", n.cast("long").alias("n_chars"), *(["edited"] if with_text else []), F.sha2("edited", 256).alias("edited_sha256"))
     return own.join(found, ["g", "pos"]).drop("g", "pos")

@@ -134,8 +134,8 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach USING (doc_id) GROU
 
 
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = fingerprint.fingerprints(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    found = fingerprint.fingerprints(table(spark, sf_dir, "documents"), with_text=False)
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
 QUERIES = {
