@@ -3,36 +3,43 @@
 A document's set is its distinct five-word shingles. Each permutation of the 64-bit hashes is
 evaluated once and yields two signature values, the smallest and the largest image: both agree
 between two sets with the probability of their Jaccard similarity, so 100 permutations give 200
-values. Bands of five values make the buckets in which documents meet: a pair at similarity 0.75
-misses all 40 bands with a probability of 2e-5, one at 0.9 with 1e-16.
+values. Bands of five values make the buckets in which documents meet. For independent values a pair at similarity 0.75
+misses all 40 bands with a probability of 2e-5, one at 0.9 with 1e-16; smallest and largest of a set of few
+shingles depend on each other, which raises the first to 5e-5 at 40 shingles. So a set of at most ``FEW``
+shingles has further buckets: any two sets at the threshold share one of their first shingles in the order of the
+hashes (as many as either may lack, and one more), so those sets never miss each other.
 
-Nothing here grows with the square of a group:
+How the work is bounded:
 
 * documents with equal sets are one node;
 * in every bucket only the pairs with its best-connected node (the one that meets most others over
   all its buckets) are confirmed first, on full sets;
-* buckets that end up in one component are done; in the others the remaining pairs across components
-  are compared on halved hashes of their sets, in bounded blocks, and those that may reach the
-  threshold are confirmed, too.
+* buckets that end up in one component are done; in the others only the nodes outside of the bucket's largest
+  component are compared, with each other and with that component, in blocks of bounded rows and bytes. Within a block
+  two nodes are compared if they share one of the shingles that are rarest there, of which either may not
+  lack all, on halved hashes; those that may reach the threshold are confirmed, too.
+
+Rows moved for the last step grow with a bucket times the number of blocks of its smaller components.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import materialise, slices, small_batches, worker_state
+from .common import BROADCAST_ROWS, discard, materialise, slices, small, small_batches, worker_state
 from .graph import components
 
-PERMUTATIONS, BAND = 100, 5
+PERMUTATIONS, BAND, FEW = 100, 5, 16
 BANDS = 2 * PERMUTATIONS // BAND
-#: Rows that are broadcast at most (some tens of MB); more are joined by a shuffle.
-BROADCAST_ROWS = 600_000
-_BLOCK, _CHUNK, _CACHE = 1024, 4096, 200_000
+#: Rows of one key that a join leaves together; a larger key is dealt to several tasks.
+HOT = 100_000
+_BLOCK, _BLOCK_BYTES, _CHUNK, _CACHE = 512, 2 << 20, 4096, 100_000
 
 
 class _Hashes(dict):
@@ -95,16 +102,26 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def first_keys(shingles: np.ndarray, share: int) -> np.ndarray:
+    """Keys of the first shingles of a small set: two sets at the threshold have one in common."""
+    first = shingles[: len(shingles) - -(-share * len(shingles) // 100) + 1]
+    return _mix(first ^ np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+
+
 def _text_column(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(name).cast(pa.binary()).to_pylist()
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n`` (size of the set), ``set_key`` (128-bit digest) and ``bands``."""
+def _words() -> _Hashes:
+    """This worker's cache of words; what another operator has left is dropped."""
+    return worker_state("near duplicates").setdefault("words", _Hashes())
+
+
+def signatures(docs: DataFrame, share: int = 75) -> DataFrame:
+    """``doc_id, tk`` with ``n`` (size of the set), ``set_key`` (128-bit digest) and ``bands``; from ``doc_id, tk, text``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        worker_state("near duplicates")  # drops what another operator has left
-        cache, (a, b) = _Hashes(), _permutations()
+        cache, (a, b) = _words(), _permutations()
         for batch in slices(batches, 1024):
             sizes, keys, bands = [], [], []
             for text in _text_column(batch, "text"):
@@ -114,166 +131,221 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                     keys.append(None), bands.append(None)
                     continue
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                bands.append(band_keys(signature(s, a, b)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n", "set_key", "bands"])
+                own = band_keys(signature(s, a, b))
+                bands.append(np.concatenate([own, first_keys(s, share)]) if len(s) <= FEW else own)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tk"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "tk", "n", "set_key", "bands"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, set_key binary, bands array<long>")
+    return docs.select("doc_id", "tk", "text").mapInArrow(run, "doc_id long, tk long, n long, set_key binary, bands array<long>")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Broadcast a written table if it has few rows; else leave the join to a shuffle."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _by_key(rows: DataFrame, keyed: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join written ``rows`` with the written table ``keyed``: one row per ``key`` and ``met``, its number of rows.
 
+    A small ``keyed`` is broadcast. Otherwise the rows of a key with more than ``HOT`` (there are few, as they
+    add up to the rows) are dealt to as many tasks as they fill.
+    """
+    total = keyed.agg(F.count("*").alias("n"), F.sum("met").alias("met")).first()
+    if total.n <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(keyed), key, how).drop("met")
+    parts = F.ceil(F.col("met") / max(HOT, (total.met or 0) // HOT)).cast("int")
+    hot = keyed.select(key, parts.alias("parts")).where("parts > 1")  # at most HOT
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("part", F.pmod(F.monotonically_increasing_id(), F.coalesce("parts", F.lit(1))).cast("int")).drop("parts")
+    return dealt.join(keyed.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("met"), [key, "part"], how).drop("part")
 
-def confirmed(docs: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
-    """Those of ``pairs`` (``a, b``) that reach ``share`` percent on full sets.
+
+def confirmed(docs: DataFrame, pairs: DataFrame, share: int, held: list[str]) -> DataFrame:
+    """Those of ``pairs`` (``a, ta, b, tb``: ids and keys of texts) that reach ``share`` percent on full sets.
 
     The texts meet by ``a``; a node with many partners is dealt to several tasks, each with its text once.
     """
-    spread = pairs.groupBy("a").agg(F.ceil(F.count("*") / 128).cast("int").alias("parts"))
-    dealt = pairs.join(spread, "a").select(F.col("b").alias("doc_id"), "a", F.expr("int(pmod(xxhash64(b), parts))").alias("part"), F.lit(1).alias("kind"))
-    hubs = spread.select(F.col("a").alias("doc_id"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"))
-    wanted = small(materialise(dealt.union(hubs), "wanted"))
+    spread = materialise(pairs.groupBy("a", "ta").agg(F.count("*").alias("met")).select("a", "ta", F.ceil(F.col("met") / 128).cast("int").alias("parts")), "spread", held)
+    many = small(materialise(spread.where("parts > 1"), "many", held))
+    dealt = pairs.join(many, ["a", "ta"], "left").select(F.col("b").alias("doc_id"), F.col("tb").alias("tk"), "a", "ta", F.expr("int(pmod(xxhash64(b, tb), coalesce(parts, 1)))").alias("part"), F.lit(1).alias("kind"))
+    hubs = spread.select(F.col("a").alias("doc_id"), F.col("ta").alias("tk"), "a", "ta", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"))
+    wanted = small(materialise(dealt.union(hubs), "wanted", held))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, at, hub = _Hashes(), None, []
+        cache, at, hub = _words(), None, None
         for batch in slices(batches, 1024):
             found: tuple[list[int], list[int]] = ([], [])
-            columns = (batch.column(c).to_pylist() for c in ("a", "part", "kind", "doc_id"))
-            for a, part, kind, b, text in zip(*columns, _text_column(batch, "text"), strict=True):
-                if (a, part) != at:
-                    at, hub = (a, part), []
-                s = shingle_set(text, cache)
+            columns = (batch.column(c).to_pylist() for c in ("a", "ta", "part", "kind", "doc_id"))
+            for a, ta, part, kind, b, text in zip(*columns, _text_column(batch, "text"), strict=True):
+                if (a, ta, part) != at:
+                    at, hub = (a, ta, part), None
                 if not kind:
-                    hub.append(s)
+                    hub = shingle_set(text, cache) if hub is None else hub  # rows may repeat
                     continue
-                for other in hub:
-                    if not len(s) or not len(other):
-                        continue
-                    near = np.searchsorted(other, s)
-                    near[near == len(other)] = 0
-                    both = int((other[near] == s).sum())
-                    if 100 * both >= share * (len(s) + len(other) - both):
-                        found[0].append(a), found[1].append(b)
-                        break
+                s = shingle_set(text, cache)
+                if hub is None:
+                    continue
+                near = np.searchsorted(hub, s)
+                near[near == len(hub)] = 0
+                both = int((hub[near] == s).sum())
+                if 100 * both >= share * (len(s) + len(hub) - both):
+                    found[0].append(a), found[1].append(b)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["a", "b"])
 
-    rows = docs.join(wanted, "doc_id").select("a", "part", "kind", "doc_id", "text")
-    return rows.repartition("a", "part").sortWithinPartitions("a", "part", "kind").mapInArrow(run, "a long, b long")
+    rows = docs.join(wanted, ["doc_id", "tk"]).select("a", "ta", "part", "kind", "doc_id", "text")
+    return rows.repartition("a", "ta", "part").sortWithinPartitions("a", "ta", "part", "kind").mapInArrow(run, "a long, b long")
 
 
 def _halved(docs: DataFrame) -> DataFrame:
-    """``id, half``: the upper 32 bits of a document's hashes."""
+    """``id, tk, half``: the upper 32 bits of a document's hashes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _Hashes()
+        cache = _words()
         for batch in slices(batches, 1024):
             half = [(shingle_set(t, cache) >> np.uint64(32)).astype("<u4").tobytes() for t in _text_column(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(half, pa.binary())], names=["id", "half"])
-
-    return docs.mapInArrow(run, "id long, half binary")
-
-
-def _likely(held: list[tuple], at: tuple, share: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Of the nodes of one bucket, or of two blocks of it, those pairs across components that may reach the threshold."""
-    band = held[0][0]
-    ids, comps, sides = (np.array([h[k] for h in held], dtype=np.int64) for k in (1, 2, 5))
-    bands = np.array([h[3][:band] for h in held], dtype=np.int64).reshape(len(held), band)
-    sets = [np.frombuffer(h[4], dtype="<u4") for h in held]
-    sizes = np.array([len(x) for x in sets], dtype=np.int64)
-    names, where = np.unique(np.concatenate(sets), return_inverse=True)
-    ends = np.cumsum(sizes)
-    mark = np.zeros(len(names), dtype=np.int64)
-    found, counts = np.unique(comps, return_counts=True)
-    major, across = found[counts.argmax()], at[1] != at[2]
-    for k in range(len(held)):
-        if comps[k] == major:  # its pairs come from the others
-            continue
-        may = (comps != comps[k]) & ((comps == major) | (np.arange(len(held)) > k)) & (100 * np.minimum(sizes, sizes[k]) >= share * np.maximum(sizes, sizes[k]))
-        if across:
-            may &= sides != sides[k]
-        if band:
-            may &= ~(bands == bands[k]).any(axis=1)
-        if not may.any():
-            continue
-        mark[where[ends[k] - sizes[k] : ends[k]]] = 1
-        both = np.add.reduceat(mark[where], ends - sizes) + 2  # room for hashes that are equal by their upper half only
-        mark[where[ends[k] - sizes[k] : ends[k]]] = 0
-        may &= 100 * both >= share * (sizes + sizes[k] - both)
-        if may.any():
-            yield int(ids[k]), ids[may]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tk"), pa.array(half, pa.binary())], names=["id", "tk", "half"])
+
+    return docs.select("doc_id", "tk", "text").mapInArrow(run, "id long, tk long, half binary")
+
+
+class _Node(NamedTuple):
+    """A node as it comes to a block: ``side`` tells the two blocks that meet apart."""
+
+    side: int
+    band: int
+    id: int
+    tk: int
+    comp: int
+    bands: list[int]
+    half: bytes
+
 
+def likely(nodes: list[_Node], two: bool, share: int) -> Iterator[tuple[int, int]]:
+    """Places of pairs of one block, or of two that meet, in different components that may reach the threshold.
 
-def _across(members: DataFrame, share: int) -> DataFrame:
+    Exact up to confirmation: of ``n`` shingles a partner lacks at most ``n - ceil(share * n)``, so the pair
+    shares one of as many and one more, whichever these are; the rarest here meet fewest others.
+    """
+    sizes = np.array([len(x.half) // 4 for x in nodes], dtype=np.int64)
+    every = np.frombuffer(b"".join(x.half for x in nodes), dtype="<u4")
+    names, token, counts = np.unique(every, return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(nodes)), sizes)
+    order = np.lexsort((token, counts[token], owner))
+    starts = np.cumsum(sizes) - sizes
+    rank = np.empty(len(every), dtype=np.int64)
+    rank[order] = np.arange(len(every)) - starts[owner]
+    early = np.flatnonzero(rank < sizes[owner] - -(-share * sizes[owner] // 100) + 1)
+    by_token = early[np.argsort(token[early], kind="stable")]
+    ends = np.searchsorted(token[by_token], np.arange(len(names) + 1))
+    comps, sides = (np.array([getattr(x, c) for x in nodes], dtype=np.int64) for c in ("comp", "side"))
+    band = min(nodes[0].band, BANDS)
+    bands = np.array([x.bands[:band] for x in nodes], dtype=np.int64).reshape(len(nodes), band)
+    mark = np.zeros(len(names), dtype=bool)
+    mine = np.split(early, np.searchsorted(owner[early], np.arange(1, len(nodes))))
+    for k in range(len(nodes)):
+        if two and sides[k]:
+            continue
+        met = [owner[by_token[ends[t] : ends[t + 1]]] for t in token[mine[k]].tolist() if ends[t + 1] - ends[t] > 1]
+        if not met:
+            continue
+        others = np.unique(np.concatenate(met))
+        others = others[sides[others] == 1] if two else others[others > k]
+        others = others[(comps[others] != comps[k]) & (100 * np.minimum(sizes[others], sizes[k]) >= share * np.maximum(sizes[others], sizes[k]))]
+        if band:  # a pair comes from the first of its common buckets
+            others = others[~(bands[others] == bands[k]).any(axis=1)]
+        own = token[starts[k] : starts[k] + sizes[k]]
+        mark[own] = True
+        for o in others.tolist():
+            both = int(mark[token[starts[o] : starts[o] + sizes[o]]].sum())  # no fewer than on full hashes
+            if 100 * both >= share * (sizes[o] + sizes[k] - both):
+                yield k, o
+        mark[own] = False
+
+
+def _across(members: DataFrame, share: int, held: list[str]) -> DataFrame:
     """Pairs of a bucket in different components that may reach the threshold.
 
-    ``members``: ``key, band, id, comp, bands, half``. A bucket of more than ``_BLOCK`` nodes is dealt to
-    pairs of blocks. A pair comes from the first of its common buckets only.
+    ``members``: ``key, band, id, tk, comp, minor, bands, half``; ``minor`` marks the nodes outside of the bucket's
+    largest component. Minor blocks meet each other and the major ones; a pair comes from the first of its common buckets only.
     """
-    sizes = members.groupBy("key").agg(F.ceil(F.count("*") / _BLOCK).cast("int").alias("blocks"))
-    rows = members.join(sizes, "key").withColumn("mine", F.expr("int(pmod(xxhash64(id), blocks))"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), F.expr("int(mine > other)").alias("side"), "band", "id", "comp", "bands", "half")
+    blocks = lambda cond: F.greatest(F.ceil(F.count(F.when(cond, 1)) / _BLOCK), F.ceil(F.sum(F.when(cond, F.octet_length("half"))) / _BLOCK_BYTES)).cast("int")
+    sizes = members.groupBy("key").agg(F.count("*").alias("met"), blocks(F.col("minor")).alias("minors"), blocks(~F.col("minor")).alias("majors"))
+    rows = _by_key(members, materialise(sizes, "sizes", held), "key")
+    rows = rows.withColumn("mine", F.expr("int(pmod(xxhash64(id, tk, 5), if(minor, minors, majors)))"))
+    to, minors, majors = F.struct, F.sequence(F.lit(0), F.col("minors") - 1), F.sequence(F.lit(0), F.col("majors") - 1)
+    among = F.transform(minors, lambda x: to(F.lit(0).alias("kind"), F.least("mine", x).alias("i"), F.greatest("mine", x).alias("j"), (F.col("mine") > x).cast("int").alias("side")))
+    down = F.transform(majors, lambda x: to(F.lit(1).alias("kind"), F.col("mine").alias("i"), x.alias("j"), F.lit(0).alias("side")))
+    up = F.transform(minors, lambda x: to(F.lit(1).alias("kind"), x.alias("i"), F.col("mine").alias("j"), F.lit(1).alias("side")))
+    rows = rows.withColumn("at", F.explode(F.when(F.col("minor"), F.concat(among, down)).otherwise(up)))
+    rows = rows.select("key", "at.kind", "at.i", "at.j", "at.side", "band", "id", "tk", "comp", "bands", "half")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("near duplicates")
         at, held = None, []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for one, others in _likely(held, at, share) if len(held) > 1 else ():
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(others, one)), pa.array(np.maximum(others, one))], names=["a", "b"])
-
-        for batch in slices(batches, 1024):
-            for key, i, j, side, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (key, i, j) != at:
+            if len(held) < 2:
+                return
+            two = at[1] == 1 or at[2] != at[3]
+            pairs = sorted((held[k][2:4], held[o][2:4]) if held[k].id < held[o].id else (held[o][2:4], held[k][2:4]) for k, o in likely(held, two, share))
+            yield pa.RecordBatch.from_arrays([pa.array([p[x][y] for p in pairs], pa.int64()) for x in (0, 1) for y in (0, 1)], names=["a", "ta", "b", "tb"])
+
+        for batch in slices(batches, 256):
+            for key, kind, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (key, kind, i, j) != at:
                     yield from flush()
-                    at, held = (key, i, j), []
-                held.append((*row, side))
+                    at, held = (key, kind, i, j), []
+                held.append(_Node(*row))
         yield from flush()
 
-    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "id").mapInArrow(run, "a long, b long").distinct()
+    return rows.repartition("key", "kind", "i", "j").sortWithinPartitions("key", "kind", "i", "j", "id", "tk").mapInArrow(run, "a long, ta long, b long, tb long").distinct()
 
 
 def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+    """One row per row: ``doc_id, n_shingles, component_id, kept``.
 
     ``component_id`` is the smallest id reachable over links of ``share`` percent or more, ``kept``
     marks the document of that id. Documents without words (null, empty, blank) have an empty set and
     are linked with nothing. A null id is linked with nothing either: its component is null and it is
-    kept. Rows that repeat an id count as one document for links, and all are returned. An empty
+    kept. Rows that repeat an id are one document, whatever their texts: all are in one component, and
+    each row has the size of its own set. An empty
     table gives no rows; other columns are not read; texts of any length count whole.
     """
-    docs = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    seen = materialise(signatures(docs), "signatures")
-    sets = seen.where("n > 0 and doc_id is not null")
-    nodes = sets.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"))
-    nodes = materialise(nodes, "nodes")
-
-    buckets = nodes.select("id", F.posexplode("bands").alias("band", "key"))
-    shared = materialise(buckets.groupBy("key").agg(F.count("*").alias("met")).where("met > 1"), "buckets")
-    members = materialise(buckets.join(small(shared), "key"), "members")
-    degrees = members.groupBy("id").agg(F.sum("met").alias("degree"))
-    leaders = members.join(degrees, "id").groupBy("key").agg(F.max(F.struct("degree", F.negative("id").alias("minus"))).alias("top"))
-    leaders = leaders.select("key", F.negative("top.minus").alias("a"))
-    first = members.join(leaders, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    first = materialise(first, "pairs")
-    links = materialise(confirmed(docs, first, share), "links")
+    spark, held, last = docs.sparkSession, [], []
+    docs = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("tk"), F.col(text_col).alias("text"))
+    seen = materialise(signatures(docs, share), "signatures", held)
+    nodes = seen.where("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min(F.struct("doc_id", "tk")).alias("of"), F.first("bands").alias("bands"), F.count("*").alias("met"))
+    nodes = materialise(nodes.select("set_key", F.col("of.doc_id").alias("id"), "of.tk", "bands", "met"), "nodes", held)
+    # rows without a node have a key of their own, which no digest can be
+    own = seen.select("doc_id", "n", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("set_key")), F.monotonically_increasing_id().cast("string").cast("binary")).alias("set_key"))
+    own = _by_key(own, nodes.select("set_key", F.col("id").alias("node"), "met"), "set_key", "left").select("doc_id", "n", F.coalesce("node", "doc_id").alias("id"))
+    own = materialise(own, "own", last)
+    # rows of one id are linked, whatever their sets
+    repeated = materialise(own.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("met")).where("a < b").drop("b"), "repeated", held)
+    links = materialise(_by_key(own, repeated, "doc_id").select("a", F.col("id").alias("b")).distinct(), "links", held)
+
+    buckets = nodes.select("id", "tk", F.posexplode("bands").alias("band", "key"))
+    shared = materialise(buckets.groupBy("key").agg(F.count("*").alias("met")).where("met > 1"), "buckets", held)
+    members = materialise(_by_key(buckets, shared.select("key", "met", F.col("met").alias("size")), "key"), "members", held)
+    degrees = members.groupBy("id", "tk").agg(F.sum("size").alias("degree"))
+    leaders = members.join(degrees, ["id", "tk"]).groupBy("key").agg(F.max(F.struct("degree", F.negative("id").alias("minus"), "tk")).alias("top"), F.count("*").alias("met"))
+    leaders = materialise(leaders.select("key", F.negative("top.minus").alias("a"), F.col("top.tk").alias("ta"), "met"), "leaders", held)
+    first = _by_key(members, leaders, "key").where("id <> a").select("a", "ta", F.col("id").alias("b"), F.col("tk").alias("tb")).distinct()
+    first = materialise(first, "pairs", held)
+    links = links.union(materialise(confirmed(docs, first, share, held), "links", held))
     found = components(links)
 
-    placed = materialise(members.join(found, "id", "left").select("key", "band", "id", F.coalesce("comp", "id").alias("comp")), "placed")
-    open_ = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
-    rest = materialise(placed.join(open_, "key", "left_semi"), "open")
-    halves = materialise(_halved(docs.join(small(materialise(rest.select(F.col("id").alias("doc_id")).distinct(), "ids")), "doc_id")), "halves")
-    rest = rest.join(nodes.select("id", "bands"), "id").join(halves, "id").select("key", "band", "id", "comp", "bands", "half")
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = materialise(_across(rest, share).join(tried, ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        links = links.union(materialise(confirmed(docs, second, share), "links"))
-        found = components(links)
-
-    classes = nodes.join(found, "id", "left").select("set_key", F.coalesce("comp", "id").alias("component"))
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return (
-        seen.join(materialise(classes, "classes"), "set_key", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
-    )
+    placed = materialise(members.join(found, "id", "left").select("key", "band", "id", "tk", F.coalesce("comp", "id").alias("comp")), "placed", held)
+    open_ = placed.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count("*").alias("comps"), F.sum("n").alias("met"))
+    open_ = materialise(open_.where("comps > 1").drop("comps"), "open", held)
+    if not open_.isEmpty():
+        rest = materialise(_by_key(placed, open_, "key").withColumn("minor", F.expr("comp <> major")).drop("major"), "rest", held)
+        ids = materialise(rest.select(F.col("id").alias("doc_id"), "tk").distinct(), "ids", held)
+        halves = materialise(_halved(docs.join(small(ids), ["doc_id", "tk"])).dropDuplicates(["id", "tk"]), "halves", held)
+        rest = materialise(rest.join(nodes.select("id", "tk", "bands"), ["id", "tk"]).join(halves, ["id", "tk"]), "members", held)
+        tried = first.select(*(F.when(F.col("a") < F.col("b"), F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("ta", "tb"), ("b", "a"), ("tb", "ta"))))
+        second = materialise(_across(rest, share, held).join(tried, ["a", "ta", "b", "tb"], "left_anti"), "pairs", held)
+        if not second.isEmpty():
+            links = links.union(materialise(confirmed(docs, second, share, held), "links", held))
+            found = components(links)
+
+    own_rows = own.where("id is not null")
+    found = materialise(own_rows.groupBy("id").agg(F.count("*").alias("met")).join(found, "id"), "components", last)
+    at = F.coalesce("comp", "id")
+    result = _by_key(own_rows, found, "id", "left").select("doc_id", F.col("n").alias("n_shingles"), at.alias("component_id"), (F.col("doc_id") == at).alias("kept"))
+    result = result.union(own.where("id is null").select("doc_id", "n", F.lit(None).cast("long"), F.lit(True)))
+    discard(spark, held)
+    return result

@@ -2,10 +2,10 @@
 
 The cost of a piece of ``n`` tokens is ``linear * n + quadratic * n * n``: the feed-forward part
 of a step grows with the tokens, attention within the piece with their square. Pieces are taken
-in descending length and each goes to the open sequence that costs least so far among those with
-room for it. When none of the cheapest sequences can hold a piece whole, it is cut to fill the
-cheapest one. A window opens just as many sequences as its tokens fill, so all but its last
-sequence end up full.
+in descending length and each goes to the open sequence that costs least so far among all with
+room for it. Only when no sequence can hold a piece whole is it cut, to fill the cheapest one; a document
+of more than a sequence first gives whole sequences of its own. A window opens just as many sequences as its
+tokens fill, so all but its last sequence end up full.
 
 Work happens in the tasks that scan the documents: there is no shuffle, a task holds one window
 (``window_tokens`` tokens, plus at most one document), and a lost task repeats with the same result.
@@ -34,7 +34,9 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: to the last of its run; that last one.
 _CHUNK = re.compile(f" ?[{_LATIN}]+(?![^{WHITE}\x00-\x40\x5b-\x60\x7b-\x7f])| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
 _WORD = re.compile(f" ?[{_LATIN}]+")
-_CACHE, _SHORT = 600_000, 8
+CACHE_BYTES, _SHORT = 160 << 20, 8
+#: What Python needs for a key, its ids and their place in the cache, beside their characters.
+_ENTRY = 190
 #: Characters of text whose chunks are held at once; words in one text for the tokenizer.
 _STEP, _JOIN = 60_000, 400
 
@@ -46,10 +48,10 @@ class ChunkEncoder:
 
     Unknown words go to the library many at a time, kept apart by a character that its pre-tokenizer
     removes; which ids belong to which word is told by the bytes of the tokens. The cache holds about
-    ``entries`` chunks (some 250 bytes each); when it is full, all but the short ones are forgotten.
+    ``cache_bytes``; when it is full, all but the short chunks are forgotten.
     """
 
-    def __init__(self, path: str, entries: int = _CACHE):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -62,7 +64,7 @@ class ChunkEncoder:
         # a byte-level token has one character for each byte
         self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], dtype=np.int64)
         self.cache: dict[str, bytes] = {}
-        self.entries = entries
+        self.held, self.most = 0, cache_bytes
         trim()  # loading takes more than what is kept
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
@@ -83,10 +85,15 @@ class ChunkEncoder:
         self._learn({c for chunks, ids in held for c, i in zip(chunks, ids, strict=True) if i is None})
         for chunks, ids in held:
             yield b"".join([cache[c] if i is None else i for c, i in zip(chunks, ids, strict=True)])
-        if len(cache) > self.entries:  # short chunks come back more often
+        if self.held > self.most:  # short chunks come back more often
             self.cache = {c: ids for c, ids in cache.items() if len(c) <= _SHORT}
-            if len(self.cache) > self.entries // 2:
-                self.cache = {}
+            self.held = sum(map(self._size, self.cache.items()))
+            if self.held > self.most // 2:
+                self.cache, self.held = {}, 0
+
+    @staticmethod
+    def _size(entry: tuple[str, bytes]) -> int:
+        return _ENTRY + len(entry[0]) + len(entry[1])
 
     def _learn(self, missing: set[str]) -> None:
         words, others = [], []
@@ -94,7 +101,8 @@ class ChunkEncoder:
             (words if _WORD.fullmatch(c) else others).append(c)
         self.tokenizer.pre_tokenizer = self.any_text
         for c, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
-            self.cache[c] = np.array(e.ids, dtype="<u4").tobytes()
+            self.cache[c] = ids = np.array(e.ids, dtype="<u4").tobytes()
+            self.held += self._size((c, ids))
         self.tokenizer.pre_tokenizer = self.words
         groups = [words[k : k + _JOIN] for k in range(0, len(words), _JOIN)]
         for g, e in zip(groups, self.tokenizer.encode_batch_fast(["\0".join(g) for g in groups], add_special_tokens=False), strict=True):
@@ -104,10 +112,60 @@ class ChunkEncoder:
             for c, end in zip(g, (4 * till).tolist(), strict=True):
                 self.cache[c] = raw[at:end]
                 at = end
+            self.held += _ENTRY * len(g) + sum(map(len, g)) + len(raw)
+
 
+class _Open:
+    """Open sequences by room, with the cheapest (ties: the first) of every range of rooms in a tree over rooms.
+
+    Among sequences of one room the cheapest is on top of a heap; a node of the tree names the cheaper of
+    its two halves, so the cheapest with room for a piece is found, and moved, in steps that grow with
+    the logarithm of the size.
+    """
 
-#: Sequences looked at for one that holds a piece whole before the piece is cut.
-_LOOK = 24
+    def __init__(self, rooms: list[int], size: int):
+        self.leaves = 1 << size.bit_length()
+        self.heaps: list[list[tuple[float, int]]] = [[] for _ in range(self.leaves)]
+        for sequence, room in enumerate(rooms):
+            self.heaps[room].append((0.0, sequence))
+        self.best = [_NONE] * (2 * self.leaves)
+        for room in set(rooms):
+            self._renew(room)
+
+    def _renew(self, room: int) -> None:
+        best, node = self.best, room + self.leaves
+        best[node] = self.heaps[room][0] if self.heaps[room] else _NONE
+        while node > 1:
+            one, two = best[node], best[node ^ 1]
+            node >>= 1
+            best[node] = one if one < two else two
+
+    def take(self, room: int) -> tuple[float, int, int] | None:
+        """Cost, number and room of the cheapest sequence with this room or more, which is then no longer open."""
+        node, found = room + self.leaves, _NONE
+        at = node
+        if self.best[node] < found:
+            found = self.best[node]
+        while node > 1:
+            if not node & 1 and self.best[node + 1] < found:
+                found, at = self.best[node + 1], node + 1
+            node >>= 1
+        if found is _NONE:
+            return None
+        while at < self.leaves:
+            at = 2 * at if self.best[2 * at] == found else 2 * at + 1
+        own = at - self.leaves
+        heapq.heappop(self.heaps[own])
+        self._renew(own)
+        return *found, own
+
+    def put(self, cost: float, sequence: int, room: int) -> None:
+        heapq.heappush(self.heaps[room], (cost, sequence))
+        if self.heaps[room][0][1] == sequence:
+            self._renew(room)
+
+
+_NONE = (float("inf"), -1)
 
 
 def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> Iterator[tuple[int, int, int, int, int]]:
@@ -115,7 +173,7 @@ def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> It
 
     A document longer than ``size`` first gives whole sequences of its own; its rest, like shorter
     documents, goes in descending order (ties: the earlier document) to the cheapest sequence with
-    room. The last sequence is only as long as what remains, so the others fill up.
+    room (ties: the first), and is cut only if there is none. The last sequence is only as long as what remains, so the others fill up.
     """
     sequence, rests = 0, []
     for doc, n in enumerate(lengths):
@@ -127,32 +185,20 @@ def assign(lengths: list[int], size: int, linear: float, quadratic: float) -> It
             rests.append((n % size, doc, whole * size))
     rests.sort(key=lambda x: (-x[0], x[1]))
     total = sum(r[0] for r in rests)
-    count = -(-total // size)
-    room = [size] * count
-    if total % size:
-        room[-1] = total % size
-    heap = [(0.0, s) for s in range(count)]
+    rooms = [size] * (total // size) + ([total % size] if total % size else [])
+    open_ = _Open(rooms, size)
     for rest, doc, start in rests:
         while rest:
-            seen = []
-            while heap and len(seen) < _LOOK:
-                seen.append(heapq.heappop(heap))
-                if room[seen[-1][1]] >= rest:
-                    break
-            cost, s = pick = seen[-1] if room[seen[-1][1]] >= rest else seen[0]
-            seen.remove(pick)
-            part = min(rest, room[s])
-            yield doc, start, part, sequence + s, (size if s < count - 1 or not total % size else total % size) - room[s]
-            room[s] -= part
-            if room[s]:
-                seen.append((cost + linear * part + quadratic * part * part, s))
-            for x in seen:
-                heapq.heappush(heap, x)
+            cost, s, room = open_.take(rest) or open_.take(1)
+            part = min(rest, room)
+            yield doc, start, part, sequence + s, rooms[s] - room
+            if room > part:
+                open_.put(cost + linear * part + quadratic * part * part, s, room - part)
             rest -= part
             start += part
 
 
-def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, linear: float = 1.0, quadratic: float = 1 / 512, window_tokens: int = 1 << 21, cache_entries: int = _CACHE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, linear: float = 1.0, quadratic: float = 1 / 512, window_tokens: int = 1 << 21, cache_bytes: int = CACHE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pack every document into sequences of at most ``size`` tokens.
 
     One row per piece: ``doc_id, start, length, ids`` (little-endian unsigned 32-bit),
@@ -161,12 +207,12 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, lin
     Null and empty texts are the end id alone; a null id stays null; repeated rows are documents of
     their own; an empty table gives no rows; other columns are not read. Texts of any length are
     encoded whole. Sequences never cross a window of about ``window_tokens`` tokens, so each window
-    adds less than one sequence of padding. Each Python worker keeps the ids of ``cache_entries`` chunks of text.
+    adds less than one sequence of padding. Each Python worker keeps ids of chunks of text in ``cache_bytes``.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = worker_state("packing")
-        encoder = state.get(tokenizer) or state.setdefault(tokenizer, ChunkEncoder(tokenizer, cache_entries))
+        encoder = state.get(tokenizer) or state.setdefault(tokenizer, ChunkEncoder(tokenizer, cache_bytes))
         end = np.array([end_id], dtype="<u4").tobytes()
         base = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         held: list[tuple[int | None, bytes]] = []
@@ -185,15 +231,17 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, lin
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_NAMES)
 
         gc.disable()  # nothing here makes reference cycles, and the cache is long to walk
-        for batch in slices(batches, 256):
-            ids = batch.column(0).to_pylist()
-            for doc_id, raw in zip(ids, encoder.encode(t or "" for t in batch.column(1).to_pylist()), strict=True):
-                held.append((doc_id, raw + end))
-                tokens += len(raw) // 4 + 1
-                if tokens >= window_tokens:
-                    yield from flush()
-        yield from flush()
-        gc.enable()
+        try:
+            for batch in slices(batches, 256):
+                ids = batch.column(0).to_pylist()
+                for doc_id, raw in zip(ids, encoder.encode(t or "" for t in batch.column(1).to_pylist()), strict=True):
+                    held.append((doc_id, raw + end))
+                    tokens += len(raw) // 4 + 1
+                    if tokens >= window_tokens:
+                        yield from flush()
+            yield from flush()
+        finally:  # also where a task ends early: the worker lives on
+            gc.enable()
 
     return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES)
 

@@ -82,8 +82,8 @@ FROM s QUALIFY rank <= 20
 """
 
 
-def packed(docs: DataFrame, cache_entries: int = 1_500_000) -> DataFrame:
-    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), cache_entries=cache_entries)
+def packed(docs: DataFrame, cache_bytes: int = packing.CACHE_BYTES) -> DataFrame:
+    pieces = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), cache_bytes=cache_bytes)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -14,7 +14,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from statloom.llm import fingerprint, graph, near_dup, neighbours, quality, queries, sharding
+from statloom.llm import common, fingerprint, graph, near_dup, neighbours, quality, queries, sharding
 from statloom.llm.common import materialise
 
 
@@ -150,10 +150,11 @@ def test_neighbours_against_brute_force(spark, monkeypatch, blocks):
 
 
 def brute_near(texts, ids, share=75):
-    sets = {}
-    for i, t in zip(ids, texts, strict=True):
+    """Rows of one id are one document, linked by any of its sets."""
+    sets = []
+    for t in texts:
         words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").encode().split()
-        sets[i] = {tuple(words[k : k + 5]) for k in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} if words else set()
+        sets.append({tuple(words[k : k + 5]) for k in range(len(words) - 4)} if len(words) >= 5 else {tuple(words)} if words else set())
     up = {i: i for i in ids}
 
     def find(x):
@@ -161,12 +162,12 @@ def brute_near(texts, ids, share=75):
             x = up[x]
         return x
 
-    for a, b in itertools.combinations(ids, 2):
+    for a, b in itertools.combinations(range(len(ids)), 2):
         both, union = len(sets[a] & sets[b]), len(sets[a] | sets[b])
         if both and 100 * both >= share * union:
-            x, y = sorted((find(a), find(b)))
+            x, y = sorted((find(ids[a]), find(ids[b])))
             up[y] = x
-    return sorted((i, len(sets[i]), find(i), find(i) == i) for i in ids)
+    return sorted((i, len(s), find(i), find(i) == i) for i, s in zip(ids, sets, strict=True))
 
 
 def corpus(seed=4):
@@ -195,6 +196,51 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, block):
     assert found == brute_near(texts, ids)
 
 
+def test_repeated_ids_are_one_document(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "_BLOCK", 8)
+    rng = random.Random(6)
+    texts = corpus(6)
+    ids = [rng.randint(0, 120) for _ in texts]
+    found = sorted(tuple(r) for r in near_dup.near_duplicates(docs(spark, texts, ids)).collect())
+    assert found == brute_near(texts, ids)
+    one, two = "a b c d e f g", "t u v w x y z"
+    found = near_dup.near_duplicates(docs(spark, [one, one, two, two, two], [3, 7, 7, 9, 9])).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in found} == {(3, 3, True), (7, 3, False), (9, 3, False)} and len(found) == 5
+
+
+def test_keys_with_many_rows_are_dealt(spark, monkeypatch):
+    for name, value in (("HOT", 25), ("BROADCAST_ROWS", -1)):
+        monkeypatch.setattr(near_dup, name, value)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
+    texts = corpus(7)
+    rows = near_dup.near_duplicates(docs(spark, texts, list(range(len(texts))))).collect()
+    assert sorted(tuple(r) for r in rows) == brute_near(texts, list(range(len(texts))))
+
+
+def test_small_sets_never_miss_each_other():
+    rng, cache = random.Random(1), near_dup._Hashes()
+    for _ in range(300):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(rng.randint(5, 20))]
+        one, two = (near_dup.shingle_set(" ".join(w).encode(), cache) for w in (words, words[rng.randint(0, 1) : rng.randint(len(words) - 2, len(words))]))
+        both = len(np.intersect1d(one, two))
+        if 4 * both >= 3 * (len(one) + len(two) - both):
+            assert np.intersect1d(near_dup.first_keys(one, 75), near_dup.first_keys(two, 75)).size
+
+
+@pytest.mark.parametrize("two", [False, True])
+def test_blocks_against_all_pairs(two):
+    rng = np.random.default_rng(3)
+    hot = rng.integers(0, 2**32, 40)
+    sets = [np.unique(np.concatenate([rng.choice(hot, rng.integers(10, 40), replace=False), rng.integers(0, 2**32, rng.integers(0, 15))])).astype("<u4") for _ in range(80)]
+    nodes = [near_dup._Node(k % 2 if two else 0, 0, k, 0, k % 7, [], x.tobytes()) for k, x in enumerate(sets)]
+    wanted = set()
+    for a, b in itertools.combinations(nodes, 2):
+        both = len(np.intersect1d(sets[a.id], sets[b.id]))
+        if a.comp != b.comp and (not two or a.side != b.side) and 4 * both >= 3 * (len(sets[a.id]) + len(sets[b.id]) - both):
+            wanted.add((a.id, b.id))
+    assert wanted and {tuple(sorted(p)) for p in near_dup.likely(nodes, two, 75)} == wanted
+
+
 def test_near_duplicates_at_the_edges(spark):
     found = near_dup.near_duplicates(docs(spark, ["a b c d e f"] * 3 + [None, "x"], [5, None, 5, None, 9])).collect()
     assert Counter(map(tuple, found)) == Counter([(5, 2, 5, True), (5, 2, 5, True), (None, 2, None, True), (None, 0, None, True), (9, 1, 9, True)])

@@ -190,6 +190,43 @@ def test_assignment_is_exact_and_dense(lengths, size):
     assert sum(sum(k for _, k in at) < size for at in fill.values()) <= 1
 
 
+def cheapest_with_room(lengths, size, linear, quadratic):
+    """The rule of the method, looking at every sequence for every piece."""
+    rests = sorted(((-(n % size), d) for d, n in enumerate(lengths) if n % size))
+    total = -sum(r for r, _ in rests)
+    rooms = [size] * (total // size) + [total % size] * (total % size > 0)
+    left, cost, out = list(rooms), [0.0] * len(rooms), []
+    first = sum(n // size for n in lengths)
+    for minus, d in rests:
+        rest, start = -minus, lengths[d] // size * size
+        while rest:
+            fit = [s for s in range(len(left)) if left[s] >= rest] or [s for s in range(len(left)) if left[s]]
+            s = min(fit, key=lambda s: (cost[s], s))
+            part = min(rest, left[s])
+            out.append((d, start, part, first + s, rooms[s] - left[s]))
+            cost[s] += linear * part + quadratic * part * part
+            left[s] -= part
+            rest, start = rest - part, start + part
+    return out
+
+
+@given(st.lists(st.integers(1, 70), max_size=60), st.integers(2, 40))
+def test_assignment_follows_the_cost_rule(lengths, size):
+    found = [p for p in packing.assign(lengths, size, 1.0, 0.25) if p[2] < size or lengths[p[0]] < size or p[1] >= lengths[p[0]] // size * size]
+    assert found == cheapest_with_room(lengths, size, 1.0, 0.25)
+
+
+def test_assignment_of_usual_lengths_follows_the_cost_rule():
+    lengths = (np.random.default_rng(2).lognormal(5, 1, 1200).astype(int) + 1).tolist()
+    found = [p for p in packing.assign(lengths, 1024, 1.0, 1 / 512) if p[2] < 1024]
+    assert found == [p for p in cheapest_with_room(lengths, 1024, 1.0, 1 / 512) if p[2] < 1024]
+
+
+def test_a_small_cache_gives_the_same_ids():
+    texts = [t for t in ODD if t] * 2 + [f"word{k} other{k * 7}" for k in range(3000)]
+    assert list(packing.ChunkEncoder(BPE, 100_000).encode(texts)) == list(packing.ChunkEncoder(BPE).encode(texts))
+
+
 def test_packed_query(spark, tmp_path):
     docs(spark, ODD * 3, extra=True).withColumn("doc_id", F.expr("nullif(doc_id, 3)")).write.parquet(f"{tmp_path}/documents.parquet")
     rows = queries.op6_packing(spark, str(tmp_path)).collect()
