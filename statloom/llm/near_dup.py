@@ -30,7 +30,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import BROADCAST_ROWS, discard, materialise, slices, small, small_batches, worker_state
 from .graph import components
@@ -153,25 +153,25 @@ def _by_key(rows: DataFrame, keyed: DataFrame, key: str, how: str = "inner") ->
     return dealt.join(keyed.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("met"), [key, "part"], how).drop("part")
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, share: int, held: list[str]) -> DataFrame:
-    """Those of ``pairs`` (``a, ta, b, tb``: ids and keys of texts) that reach ``share`` percent on full sets.
+def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, share: int, held: list[str]) -> DataFrame:
+    """Those of ``pairs`` (``a, b`` of nodes) that reach ``share`` percent on full sets.
 
     The texts meet by ``a``; a node with many partners is dealt to several tasks, each with its text once.
     """
-    spread = materialise(pairs.groupBy("a", "ta").agg(F.count("*").alias("met")).select("a", "ta", F.ceil(F.col("met") / 128).cast("int").alias("parts")), "spread", held)
+    spread = materialise(pairs.groupBy("a").agg(F.ceil(F.count("*") / 128).cast("int").alias("parts")), "spread", held)
     many = small(materialise(spread.where("parts > 1"), "many", held))
-    dealt = pairs.join(many, ["a", "ta"], "left").select(F.col("b").alias("doc_id"), F.col("tb").alias("tk"), "a", "ta", F.expr("int(pmod(xxhash64(b, tb), coalesce(parts, 1)))").alias("part"), F.lit(1).alias("kind"))
-    hubs = spread.select(F.col("a").alias("doc_id"), F.col("ta").alias("tk"), "a", "ta", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"))
-    wanted = small(materialise(dealt.union(hubs), "wanted", held))
+    dealt = pairs.join(many, "a", "left").select(F.col("b").alias("node"), "a", F.expr("int(pmod(xxhash64(b), coalesce(parts, 1)))").alias("part"), F.lit(1).alias("kind"))
+    hubs = spread.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("kind"))
+    wanted = small(materialise(dealt.union(hubs).join(nodes.select("node", "doc_id", "tk"), "node"), "wanted", held))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, at, hub = _words(), None, None
         for batch in slices(batches, 1024):
             found: tuple[list[int], list[int]] = ([], [])
-            columns = (batch.column(c).to_pylist() for c in ("a", "ta", "part", "kind", "doc_id"))
-            for a, ta, part, kind, b, text in zip(*columns, _text_column(batch, "text"), strict=True):
-                if (a, ta, part) != at:
-                    at, hub = (a, ta, part), None
+            columns = (batch.column(c).to_pylist() for c in ("a", "part", "kind", "node"))
+            for a, part, kind, b, text in zip(*columns, _text_column(batch, "text"), strict=True):
+                if (a, part) != at:
+                    at, hub = (a, part), None
                 if not kind:
                     hub = shingle_set(text, cache) if hub is None else hub  # rows may repeat
                     continue
@@ -185,20 +185,20 @@ def confirmed(docs: DataFrame, pairs: DataFrame, share: int, held: list[str]) ->
                     found[0].append(a), found[1].append(b)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["a", "b"])
 
-    rows = docs.join(wanted, ["doc_id", "tk"]).select("a", "ta", "part", "kind", "doc_id", "text")
-    return rows.repartition("a", "ta", "part").sortWithinPartitions("a", "ta", "part", "kind").mapInArrow(run, "a long, b long")
+    rows = docs.join(wanted, ["doc_id", "tk"]).select("a", "part", "kind", "node", "text")
+    return rows.repartition("a", "part").sortWithinPartitions("a", "part", "kind").mapInArrow(run, "a long, b long")
 
 
 def _halved(docs: DataFrame) -> DataFrame:
-    """``id, tk, half``: the upper 32 bits of a document's hashes."""
+    """``node, half``: the upper 32 bits of a document's hashes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _words()
         for batch in slices(batches, 1024):
             half = [(shingle_set(t, cache) >> np.uint64(32)).astype("<u4").tobytes() for t in _text_column(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tk"), pa.array(half, pa.binary())], names=["id", "tk", "half"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(half, pa.binary())], names=["node", "half"])
 
-    return docs.select("doc_id", "tk", "text").mapInArrow(run, "id long, tk long, half binary")
+    return docs.select("node", "text").mapInArrow(run, "node long, half binary")
 
 
 class _Node(NamedTuple):
@@ -206,8 +206,7 @@ class _Node(NamedTuple):
 
     side: int
     band: int
-    id: int
-    tk: int
+    node: int
     comp: int
     bands: list[int]
     half: bytes
@@ -258,19 +257,19 @@ def likely(nodes: list[_Node], two: bool, share: int) -> Iterator[tuple[int, int
 def _across(members: DataFrame, share: int, held: list[str]) -> DataFrame:
     """Pairs of a bucket in different components that may reach the threshold.
 
-    ``members``: ``key, band, id, tk, comp, minor, bands, half``; ``minor`` marks the nodes outside of the bucket's
+    ``members``: ``key, band, node, comp, minor, bands, half``; ``minor`` marks the nodes outside of the bucket's
     largest component. Minor blocks meet each other and the major ones; a pair comes from the first of its common buckets only.
     """
     blocks = lambda cond: F.greatest(F.ceil(F.count(F.when(cond, 1)) / _BLOCK), F.ceil(F.sum(F.when(cond, F.octet_length("half"))) / _BLOCK_BYTES)).cast("int")
     sizes = members.groupBy("key").agg(F.count("*").alias("met"), blocks(F.col("minor")).alias("minors"), blocks(~F.col("minor")).alias("majors"))
     rows = _by_key(members, materialise(sizes, "sizes", held), "key")
-    rows = rows.withColumn("mine", F.expr("int(pmod(xxhash64(id, tk, 5), if(minor, minors, majors)))"))
+    rows = rows.withColumn("mine", F.expr("int(pmod(xxhash64(node, 5), if(minor, minors, majors)))"))
     to, minors, majors = F.struct, F.sequence(F.lit(0), F.col("minors") - 1), F.sequence(F.lit(0), F.col("majors") - 1)
     among = F.transform(minors, lambda x: to(F.lit(0).alias("kind"), F.least("mine", x).alias("i"), F.greatest("mine", x).alias("j"), (F.col("mine") > x).cast("int").alias("side")))
     down = F.transform(majors, lambda x: to(F.lit(1).alias("kind"), F.col("mine").alias("i"), x.alias("j"), F.lit(0).alias("side")))
     up = F.transform(minors, lambda x: to(F.lit(1).alias("kind"), x.alias("i"), F.col("mine").alias("j"), F.lit(1).alias("side")))
     rows = rows.withColumn("at", F.explode(F.when(F.col("minor"), F.concat(among, down)).otherwise(up)))
-    rows = rows.select("key", "at.kind", "at.i", "at.j", "at.side", "band", "id", "tk", "comp", "bands", "half")
+    rows = rows.select("key", "at.kind", "at.i", "at.j", "at.side", "band", "node", "comp", "bands", "half")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_state("near duplicates")
@@ -280,8 +279,8 @@ def _across(members: DataFrame, share: int, held: list[str]) -> DataFrame:
             if len(held) < 2:
                 return
             two = at[1] == 1 or at[2] != at[3]
-            pairs = sorted((held[k][2:4], held[o][2:4]) if held[k].id < held[o].id else (held[o][2:4], held[k][2:4]) for k, o in likely(held, two, share))
-            yield pa.RecordBatch.from_arrays([pa.array([p[x][y] for p in pairs], pa.int64()) for x in (0, 1) for y in (0, 1)], names=["a", "ta", "b", "tb"])
+            pairs = [sorted((held[k].node, held[o].node)) for k, o in likely(held, two, share)]
+            yield pa.RecordBatch.from_arrays([pa.array([p[x] for p in pairs], pa.int64()) for x in (0, 1)], names=["a", "b"])
 
         for batch in slices(batches, 256):
             for key, kind, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -291,61 +290,106 @@ def _across(members: DataFrame, share: int, held: list[str]) -> DataFrame:
                 held.append(_Node(*row))
         yield from flush()
 
-    return rows.repartition("key", "kind", "i", "j").sortWithinPartitions("key", "kind", "i", "j", "id", "tk").mapInArrow(run, "a long, ta long, b long, tb long").distinct()
+    return rows.repartition("key", "kind", "i", "j").sortWithinPartitions("key", "kind", "i", "j", "node").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row: ``doc_id, n_shingles, component_id, kept``.
+def _classes(docs: DataFrame, share: int, by_id: bool, kept: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows (``doc_id, tk, n, node``) and classes (``node, met, rep``): the smallest id and text of a node's component.
 
-    ``component_id`` is the smallest id reachable over links of ``share`` percent or more, ``kept``
-    marks the document of that id. Documents without words (null, empty, blank) have an empty set and
-    are linked with nothing. A null id is linked with nothing either: its component is null and it is
-    kept. Rows that repeat an id are one document, whatever their texts: all are in one component, and
-    each row has the size of its own set. An empty
-    table gives no rows; other columns are not read; texts of any length count whole.
+    A node is a distinct set of shingles. Rows without words or without an id have no node. With ``by_id`` the
+    sets of one id are linked, too.
     """
-    spark, held, last = docs.sparkSession, [], []
-    docs = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("tk"), F.col(text_col).alias("text"))
+    spark, held = docs.sparkSession, []
     seen = materialise(signatures(docs, share), "signatures", held)
     nodes = seen.where("n > 0 and doc_id is not null").groupBy("set_key").agg(F.min(F.struct("doc_id", "tk")).alias("of"), F.first("bands").alias("bands"), F.count("*").alias("met"))
-    nodes = materialise(nodes.select("set_key", F.col("of.doc_id").alias("id"), "of.tk", "bands", "met"), "nodes", held)
+    nodes = materialise(nodes.select(F.monotonically_increasing_id().alias("node"), "set_key", "of.doc_id", "of.tk", "bands", "met"), "nodes", held)
     # rows without a node have a key of their own, which no digest can be
-    own = seen.select("doc_id", "n", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("set_key")), F.monotonically_increasing_id().cast("string").cast("binary")).alias("set_key"))
-    own = _by_key(own, nodes.select("set_key", F.col("id").alias("node"), "met"), "set_key", "left").select("doc_id", "n", F.coalesce("node", "doc_id").alias("id"))
-    own = materialise(own, "own", last)
-    # rows of one id are linked, whatever their sets
-    repeated = materialise(own.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("met")).where("a < b").drop("b"), "repeated", held)
-    links = materialise(_by_key(own, repeated, "doc_id").select("a", F.col("id").alias("b")).distinct(), "links", held)
-
-    buckets = nodes.select("id", "tk", F.posexplode("bands").alias("band", "key"))
+    own = seen.select("doc_id", "tk", "n", F.coalesce(F.when(F.col("doc_id").isNotNull(), F.col("set_key")), F.monotonically_increasing_id().cast("string").cast("binary")).alias("set_key"))
+    own = materialise(_by_key(own, nodes.select("set_key", "node", "met"), "set_key", "left").select("doc_id", "tk", "n", "node"), "own", kept)
+
+    buckets = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     shared = materialise(buckets.groupBy("key").agg(F.count("*").alias("met")).where("met > 1"), "buckets", held)
     members = materialise(_by_key(buckets, shared.select("key", "met", F.col("met").alias("size")), "key"), "members", held)
-    degrees = members.groupBy("id", "tk").agg(F.sum("size").alias("degree"))
-    leaders = members.join(degrees, ["id", "tk"]).groupBy("key").agg(F.max(F.struct("degree", F.negative("id").alias("minus"), "tk")).alias("top"), F.count("*").alias("met"))
-    leaders = materialise(leaders.select("key", F.negative("top.minus").alias("a"), F.col("top.tk").alias("ta"), "met"), "leaders", held)
-    first = _by_key(members, leaders, "key").where("id <> a").select("a", "ta", F.col("id").alias("b"), F.col("tk").alias("tb")).distinct()
+    degrees = members.groupBy("node").agg(F.sum("size").alias("degree"))
+    leaders = members.join(degrees, "node").groupBy("key").agg(F.max(F.struct("degree", F.negative("node").alias("minus"))).alias("top"), F.count("*").alias("met"))
+    leaders = materialise(leaders.select("key", F.negative("top.minus").alias("a"), "met"), "leaders", held)
+    first = _by_key(members, leaders, "key").where("node <> a").select("a", F.col("node").alias("b")).distinct()
     first = materialise(first, "pairs", held)
-    links = links.union(materialise(confirmed(docs, first, share, held), "links", held))
+    links = materialise(confirmed(docs, nodes, first, share, held), "links", held)
+    if by_id:
+        repeated = materialise(own.where("node is not null").groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b"), F.count("*").alias("met")).where("a < b").drop("b"), "repeated", held)
+        links = links.union(materialise(_by_key(own, repeated, "doc_id").where("node <> a").select("a", F.col("node").alias("b")).distinct(), "links", held))
     found = components(links)
 
-    placed = materialise(members.join(found, "id", "left").select("key", "band", "id", "tk", F.coalesce("comp", "id").alias("comp")), "placed", held)
+    placed = materialise(members.join(found.withColumnRenamed("id", "node"), "node", "left").select("key", "band", "node", F.coalesce("comp", "node").alias("comp")), "placed", held)
     open_ = placed.groupBy("key", "comp").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count("*").alias("comps"), F.sum("n").alias("met"))
     open_ = materialise(open_.where("comps > 1").drop("comps"), "open", held)
     if not open_.isEmpty():
         rest = materialise(_by_key(placed, open_, "key").withColumn("minor", F.expr("comp <> major")).drop("major"), "rest", held)
-        ids = materialise(rest.select(F.col("id").alias("doc_id"), "tk").distinct(), "ids", held)
-        halves = materialise(_halved(docs.join(small(ids), ["doc_id", "tk"])).dropDuplicates(["id", "tk"]), "halves", held)
-        rest = materialise(rest.join(nodes.select("id", "tk", "bands"), ["id", "tk"]).join(halves, ["id", "tk"]), "members", held)
-        tried = first.select(*(F.when(F.col("a") < F.col("b"), F.col(x)).otherwise(F.col(y)).alias(x) for x, y in (("a", "b"), ("ta", "tb"), ("b", "a"), ("tb", "ta"))))
-        second = materialise(_across(rest, share, held).join(tried, ["a", "ta", "b", "tb"], "left_anti"), "pairs", held)
+        ids = materialise(rest.select("node").distinct().join(nodes.select("node", "doc_id", "tk", "bands"), "node"), "ids", held)
+        halves = materialise(_halved(docs.join(small(ids.drop("bands")), ["doc_id", "tk"])).dropDuplicates(["node"]), "halves", held)
+        rest = materialise(rest.join(ids.select("node", "bands"), "node").join(halves, "node"), "members", held)
+        tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        second = materialise(_across(rest, share, held).join(tried, ["a", "b"], "left_anti"), "pairs", held)
         if not second.isEmpty():
-            links = links.union(materialise(confirmed(docs, second, share, held), "links", held))
+            links = links.union(materialise(confirmed(docs, nodes, second, share, held), "links", held))
             found = components(links)
 
-    own_rows = own.where("id is not null")
-    found = materialise(own_rows.groupBy("id").agg(F.count("*").alias("met")).join(found, "id"), "components", last)
-    at = F.coalesce("comp", "id")
-    result = _by_key(own_rows, found, "id", "left").select("doc_id", F.col("n").alias("n_shingles"), at.alias("component_id"), (F.col("doc_id") == at).alias("kept"))
-    result = result.union(own.where("id is null").select("doc_id", "n", F.lit(None).cast("long"), F.lit(True)))
+    of = nodes.join(found.withColumnRenamed("id", "node"), "node").select("node", "comp", "met", F.struct("doc_id", "tk").alias("rep"))
+    least = of.groupBy("comp").agg(F.min("rep").alias("rep"))
+    alone = nodes.join(found.select(F.col("id").alias("node")), "node", "left_anti").select("node", "met", F.struct("doc_id", "tk").alias("rep"))
+    classes = materialise(of.drop("rep").join(least, "comp").select("node", "met", "rep").union(alone), "classes", kept)
     discard(spark, held)
-    return result
+    return own, classes
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("tk"), F.col(text_col).alias("text"))
+
+
+def near_duplicates(docs: DataFrame, share: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row: ``doc_id, n_shingles, component_id, kept``.
+
+    ``component_id`` is the smallest id reachable over links of ``share`` percent or more, ``kept``
+    marks the document of that id. Documents without words (null, empty, blank) have an empty set and
+    are linked with nothing. A null id is linked with nothing either: its component is null and it is
+    kept. Rows that repeat an id are one document, whatever their texts: all are in one component, and
+    each row has the size of its own set. An empty
+    table gives no rows; other columns are not read; texts of any length count whole.
+    """
+    own, classes = _classes(_keyed(docs, id_col, text_col), share, True, [])
+    # textless rows of an id that also has texts belong to those
+    bare = own.where("node is null")
+    by_text = _by_key(own.where("node is not null"), classes, "node").select("doc_id", "n", F.col("rep.doc_id").alias("component_id"))
+    known = by_text.join(bare.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    bare = bare.join(known, "doc_id", "left").select("doc_id", "n", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return by_text.union(bare).select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def distinct_documents(docs: DataFrame, share: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near-duplicate texts, with all its columns: that of the smallest id.
+
+    Here it is texts that are linked, so of an id with two different texts either may stay. Of rows of equal id and
+    text one stays, the first by its columns as JSON. Rows with a null id all stay, as do documents without words (one row
+    of equal ones). An empty table gives no rows; columns of any name are carried along.
+    """
+    kept: list[str] = []
+    own, classes = _classes(_keyed(docs, id_col, text_col), share, False, kept)
+    rep = F.struct("doc_id", "tk")
+    rows = _by_key(own.where("node is not null"), classes, "node")
+    gone = small(materialise(rows.where(rep != F.col("rep")).select(*_KEYS).distinct(), "gone"))
+    twice = own.where("doc_id is not null").groupBy(*_KEYS).agg(F.count("*").alias("n")).where("n > 1")
+    twice = materialise(twice.select(*_KEYS), "twice")
+    discard(docs.sparkSession, kept)
+    at = F.struct(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("tk"))
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), at.alias("at")).select("row", "at.*")
+    left = keyed.join(gone, _KEYS, "left_anti")
+    if not twice.isEmpty():
+        twice = small(twice)
+        order = Window.partitionBy(*_KEYS).orderBy(F.to_json("row"))
+        ones = left.join(twice, _KEYS, "left_semi").withColumn("copy", F.row_number().over(order)).where("copy = 1").drop("copy")
+        left = left.join(twice, _KEYS, "left_anti").union(ones)
+    return left.select("row.*")
+
+
+_KEYS = ["doc_id", "tk"]

@@ -206,6 +206,21 @@ def test_repeated_ids_are_one_document(spark, monkeypatch):
     one, two = "a b c d e f g", "t u v w x y z"
     found = near_dup.near_duplicates(docs(spark, [one, one, two, two, two], [3, 7, 7, 9, 9])).collect()
     assert {(r.doc_id, r.component_id, r.kept) for r in found} == {(3, 3, True), (7, 3, False), (9, 3, False)} and len(found) == 5
+    found = near_dup.near_duplicates(docs(spark, [one, one, ""], [3, 7, 7])).collect()
+    assert sorted(map(tuple, found)) == [(3, 3, 3, True), (7, 0, 3, False), (7, 3, 3, False)]
+
+
+def test_one_row_of_each_group_of_texts(spark):
+    one, two, three = "a b c d e f g", "t u v w x y z", "lone words here"
+    rows = [(3, one), (7, one), (7, two), (9, two), (5, three), (5, three), (5, three), (None, one), (4, ""), (4, ""), (6, None), (None, None)]
+    table = spark.createDataFrame([(i, t, 8, "row") for i, t in rows], "doc_id long, text string, node int, tk string")
+    left = near_dup.distinct_documents(table)
+    assert left.columns == table.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter([(3, one), (7, two), (5, three), (None, one), (4, ""), (6, None), (None, None)])
+    assert near_dup.distinct_documents(table.where("false")).count() == 0
+    texts = corpus(2)
+    ids = list(range(len(texts)))
+    assert sorted(r.doc_id for r in near_dup.distinct_documents(docs(spark, texts, ids)).collect()) == [i for i, _, _, kept in brute_near(texts, ids) if kept]
 
 
 def test_keys_with_many_rows_are_dealt(spark, monkeypatch):
@@ -232,12 +247,12 @@ def test_blocks_against_all_pairs(two):
     rng = np.random.default_rng(3)
     hot = rng.integers(0, 2**32, 40)
     sets = [np.unique(np.concatenate([rng.choice(hot, rng.integers(10, 40), replace=False), rng.integers(0, 2**32, rng.integers(0, 15))])).astype("<u4") for _ in range(80)]
-    nodes = [near_dup._Node(k % 2 if two else 0, 0, k, 0, k % 7, [], x.tobytes()) for k, x in enumerate(sets)]
+    nodes = [near_dup._Node(k % 2 if two else 0, 0, k, k % 7, [], x.tobytes()) for k, x in enumerate(sets)]
     wanted = set()
     for a, b in itertools.combinations(nodes, 2):
-        both = len(np.intersect1d(sets[a.id], sets[b.id]))
-        if a.comp != b.comp and (not two or a.side != b.side) and 4 * both >= 3 * (len(sets[a.id]) + len(sets[b.id]) - both):
-            wanted.add((a.id, b.id))
+        both = len(np.intersect1d(sets[a.node], sets[b.node]))
+        if a.comp != b.comp and (not two or a.side != b.side) and 4 * both >= 3 * (len(sets[a.node]) + len(sets[b.node]) - both):
+            wanted.add((a.node, b.node))
     assert wanted and {tuple(sorted(p)) for p in near_dup.likely(nodes, two, 75)} == wanted
 
 
