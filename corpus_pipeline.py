@@ -7,7 +7,7 @@ stages but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from statloom.llm import language_id, near_dup, quality, queries
 from statloom.llm.common import materialise
@@ -29,15 +29,13 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of near-duplicates."""
-    found = near_dup.near_duplicates(docs)
-    gone = near_dup.small(materialise(found.where(~F.col("kept")).select("doc_id").distinct(), "gone"))
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Keeps one row of each group of near-duplicate texts, that of the smallest id."""
+    return near_dup.distinct_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left; with a small cache, as the executors hold more by now than in a run of its own."""
-    return queries.packed(docs, cache_entries=300_000)
+    return queries.packed(docs, cache_bytes=64 << 20)
 
 
 STAGES = [("quality", good_quality), ("language", known_language), ("near_duplicates", one_of_each), ("packing", packed)]
