@@ -118,12 +118,12 @@ def brute_nearest(rows, k, query):
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v):
             own[i] = min(own.get(i, v), v)
-    usual = Counter(map(len, own.values())).most_common(1)[0][0] if own else 0
-    own = {i: v for i, v in own.items() if len(v) == usual}
     out = []
     for q in filter(query, own):
-        near = sorted((-sum(a * b for a, b in zip(own[q], v, strict=True)), i) for i, v in own.items() if i != q)[:k]
-        out += [(q, r, i, -s) for r, (s, i) in enumerate(near, 1)]
+        score = lambda v: sum(a * b for a, b in zip(own[q], v, strict=True))
+        near = sorted((-math.inf if (s := score(v)) != s else -s if s < math.inf else -1e309, s == s, i, s) for i, v in own.items() if i != q and len(v) == len(own[q]))
+        near.sort(key=lambda x: (x[1], x[0], x[2]))
+        out += [(q, r, i, s) for r, (_, _, i, s) in enumerate(near[:k], 1)]
     return sorted(out)
 
 
@@ -146,6 +146,19 @@ def test_neighbours_against_brute_force(spark, monkeypatch, blocks):
     assert [(r.query_id, r.rank, r.vec_id) for r in few] == [(20, 1, 21)]
 
 
+@pytest.mark.parametrize("blocks", [(2048, 8192), (3, 7)])
+def test_neighbours_of_any_finite_size(spark, monkeypatch, blocks):
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", blocks[0])
+    monkeypatch.setattr(neighbours, "CANDIDATE_BLOCK", blocks[1])
+    rng = np.random.default_rng(5)
+    rows = [(20, [1e200, 1.0]), (21, [1e200, 2.0]), (22, [1.0, 1.0]), (23, [1e-320, 0.0]), (24, [1e308, -1e308]), (40, [1e308, 1e308]), (41, [5e-324, 5e-324]), (60, [1e-320, 1e-310])]
+    rows += [(100 + k, (rng.normal(size=2) * 10.0 ** rng.integers(-320, 300)).tolist()) for k in range(60)]
+    rows = [(i, v) for i, v in rows if any(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(df, F.col("vec_id") % 20 == 0, 6).collect()
+    assert [repr(tuple(r)) for r in sorted(found, key=lambda r: r[:2])] == [repr(x) for x in sorted(brute_nearest(rows, 6, lambda i: i % 20 == 0), key=lambda x: x[:2])]
+
+
 # ---- near-duplicates
 
 
