@@ -8,10 +8,12 @@ in a language is the sum over its words; the posterior at equal priors is its co
 
 from __future__ import annotations
 
+import itertools
 import re
 import uuid
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +23,27 @@ from .common import materialise, slices, small_batches, worker_state
 
 LONGEST = 4
 _WORD = re.compile(r"[^\W\d_]+")
-_CACHE = 150_000
+_CACHE = 100_000
 
-Model = dict
+
+class Table(NamedTuple):
+    """Words or n-grams of one length: sorted 64-bit hashes, and for each the languages it was seen in.
+
+    ``rest`` is the log probability per language of what was not seen there; ``more`` is added for what was.
+    Entries of hash ``k`` stand from ``starts[k]`` to ``starts[k + 1]``.
+    """
+
+    hashes: np.ndarray
+    starts: np.ndarray
+    langs: np.ndarray
+    more: np.ndarray
+    rest: np.ndarray
+
+
+class Model(NamedTuple):
+    langs: list[str]
+    tables: list[Table]
+    uid: str
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -42,13 +62,27 @@ def grams(word: str, n: int) -> list[str]:
     return [word[k : k + n] for k in range(len(word) - n + 1)]
 
 
-def fit(labelled: DataFrame, max_docs: int = 6000, max_words: int = 60_000, max_grams: int = 40_000, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model:
-    """Counts of words and n-grams per language.
+def hashed(gram: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(gram.encode("utf-8", "surrogatepass"))
+
+
+def table(hashes: np.ndarray, langs: np.ndarray, counts: np.ndarray, n_langs: int) -> Table:
+    """A table of counts, by hash and language, with half a count added to each."""
+    order = np.lexsort((langs, hashes))
+    hashes, langs, counts = hashes[order], langs[order], counts[order].astype(np.float64)
+    names, starts = np.unique(hashes, return_index=True)
+    whole = np.log(np.bincount(langs, weights=counts, minlength=n_langs) + 0.5 * (len(names) + 1))
+    return Table(names, np.append(starts, len(hashes)), langs.astype(np.int32), (np.log(counts + 0.5) - np.log(0.5)).astype(np.float32), (np.log(0.5) - whole).astype(np.float32))
+
+
+def fit(labelled: DataFrame, max_docs: int = 6000, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model:
+    """Counts of words and n-grams per language, as log probabilities.
 
     The sample has about ``max_docs`` labelled documents (by a hash of the id; all, if there are no
-    more). The most frequent ``max_words`` words seen twice and ``max_grams`` n-grams of each length
-    are kept, so the model is bounded; its languages are those of the sample. Rows with a null
-    text or language teach nothing.
+    more); every word and n-gram of it is kept, so the model is bounded by the sample, and its languages are those of the
+    sample. Rows with a null text or language teach nothing.
     """
     rows = small_batches(labelled).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.col(id_col).alias("id"))
     total = rows.count()
@@ -62,66 +96,97 @@ def fit(labelled: DataFrame, max_docs: int = 6000, max_words: int = 60_000, max_
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
                 seen.setdefault(lang, Counter()).update(tokens(text))
         for lang, words in seen.items():
-            counts = Counter({(0, w): n for w, n in words.items()})
-            for w, n in words.items():
-                for k in range(1, LONGEST + 1):
-                    for g in grams(w, k):
-                        counts[k, g] += n
-            kinds, texts = zip(*counts, strict=True) if counts else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(kinds), pa.string()), pa.array(kinds, pa.int32()), pa.array(texts, pa.string()), pa.array(list(counts.values()), pa.int64())], names=["lang", "kind", "gram", "n"])
-
-    counted = rows.select("text", "lang").mapInArrow(run, "lang string, kind int, gram string, n long").groupBy("kind", "gram", "lang").agg(F.sum("n").alias("n"))
+            yield _counted(lang, 0, words)
+            for kind in range(1, LONGEST + 1):
+                counts: Counter = Counter()
+                for w, n in words.items():
+                    for g in grams(w, kind):
+                        counts[g] += n
+                yield _counted(lang, kind, counts)
+
+    counted = rows.select("text", "lang").mapInArrow(run, "lang string, kind int, hash long, n long").groupBy("kind", "hash", "lang").agg(F.sum("n").alias("n"))
     counted = materialise(counted, "counts")
-    model: Model = {"langs": sorted(r.lang for r in rows.select("lang").distinct().collect()), "n": total}
-    sums = {(r.kind, r.lang): r.n for r in counted.groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
-    by_gram = counted.groupBy("kind", "gram").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-    for kind in range(LONGEST + 1):
-        top = by_gram.where((F.col("kind") == kind) & (F.col("total") >= (2 if kind == 0 else 1))).orderBy(F.desc("total"), "gram").limit(max_grams if kind else max_words)
-        top = top.select("gram", *(F.coalesce(F.element_at("by", F.lit(x)), F.lit(0)).cast("long").alias(f"n{k}") for k, x in enumerate(model["langs"])))
-        table = top.toArrow()
-        names = table.column(0).to_pylist()
-        counts = np.array([table.column(k + 1).to_numpy() for k in range(len(model["langs"]))], dtype=np.float64).T.reshape(len(names), len(model["langs"]))
-        whole = np.array([sums.get((kind, x), 0) for x in model["langs"]], dtype=np.float64)
-        model[kind] = (names, np.log((counts + 0.5) / (whole + 0.5 * (len(names) + 1))).astype(np.float32))
-    return model
+    found = counted.toArrow()
+    langs = sorted(found.column("lang").unique().to_pylist())
+    place = np.searchsorted(np.array(langs, dtype=object), np.array(found.column("lang").to_pylist(), dtype=object)) if langs else np.empty(0, dtype=np.int64)
+    kinds, hashes, counts = (found.column(c).to_numpy() for c in ("kind", "hash", "n"))
+    tables = [table(hashes[kinds == k].view(np.uint64), place[kinds == k], counts[kinds == k], len(langs)) for k in range(LONGEST + 1)]
+    return Model(langs, tables, uuid.uuid4().hex)
+
+
+def _counted(lang: str, kind: int, counts: Counter) -> pa.RecordBatch:
+    hashes = np.fromiter(map(hashed, counts), dtype=np.uint64, count=len(counts)).view(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array([lang] * len(counts), pa.string()), pa.array([kind] * len(counts), pa.int32()), pa.array(hashes), pa.array(list(counts.values()), pa.int64())], names=["lang", "kind", "hash", "n"])
 
 
 class Scorer:
     """Log probabilities of words per language, each worked out once and kept while there is room."""
 
     def __init__(self, model: Model):
-        self.langs = model["langs"]
-        self.known = [dict(zip(names, scores, strict=True)) for names, scores in (model[k] for k in range(LONGEST + 1))]
-        self.zero = np.zeros(len(self.langs), dtype=np.float32)
+        self.langs, self.tables = model.langs, model.tables
         self.clear()
 
     def clear(self) -> None:
         self.rows: dict[str, int] = {}
         self.scores = np.zeros((_CACHE, len(self.langs)), dtype=np.float32)
 
-    def word(self, word: str) -> np.ndarray:
-        if (found := self.known[0].get(word)) is not None:
-            return found
+    def known(self, kind: int, names: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Which of these words or n-grams were seen, and the scores of those."""
+        t = self.tables[kind]
+        asked = np.fromiter(map(hashed, names), dtype=np.uint64, count=len(names))
+        at = np.searchsorted(t.hashes, asked)
+        seen = np.zeros(len(names), dtype=bool)
+        seen[at < len(t.hashes)] = t.hashes[at[at < len(t.hashes)]] == asked[at < len(t.hashes)]
+        at = at[seen]
+        scores = np.tile(t.rest, (len(at), 1))
+        sizes = t.starts[at + 1] - t.starts[at]
+        entries = np.repeat(t.starts[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        scores[np.repeat(np.arange(len(at)), sizes), t.langs[entries]] += t.more[entries]
+        return seen, scores
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """A row of scores for each word: its own, or the mean of its longest known n-grams, or zero."""
+        out = np.zeros((len(words), len(self.langs)), dtype=np.float32)
+        seen, scores = self.known(0, words)
+        out[seen] = scores
+        left = np.flatnonzero(~seen)
         for n in range(LONGEST, 0, -1):
-            known = [s for g in grams(word, n) if (s := self.known[n].get(g)) is not None]
-            if known:
-                return sum(known) / len(known)
-        return self.zero
-
-    def document(self, text: str | None) -> tuple[str, float]:
-        words = tokens(text or "")
+            if not len(left):
+                break
+            parts = [grams(words[k], n) for k in left.tolist()]
+            of = np.repeat(np.arange(len(left)), [len(p) for p in parts])
+            seen, scores = self.known(n, [g for p in parts for g in p])
+            hits = np.bincount(of[seen], minlength=len(left))
+            sums = np.zeros((len(left), len(self.langs)))
+            np.add.at(sums, of[seen], scores)
+            out[left[hits > 0]] = sums[hits > 0] / hits[hits > 0, None]
+            left = left[hits == 0]
+        return out
+
+    def documents(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        every = [tokens(t or "") for t in texts]
+        if sum(map(len, every)) > _CACHE // 2:  # long texts: one by one, in steps that fit into the cache
+            return list(map(self._document, every))
+        self._learn(itertools.chain.from_iterable(every))
+        return list(map(self._document, every))
+
+    def _learn(self, words: Iterable[str]) -> None:
+        new = list(set(words).difference(self.rows))
+        if len(self.rows) + len(new) > _CACHE:
+            self.clear()
+            return
+        self.scores[len(self.rows) : len(self.rows) + len(new)] = self.words(new)
+        self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
+
+    def _document(self, words: list[str]) -> tuple[str, float]:
         if not words or not self.langs:
             return "und", 0.0
         total = np.zeros(len(self.langs))
-        for k in range(0, len(words), 50_000):  # a step fits into the cache
-            part = words[k : k + 50_000]
-            if len(self.rows) + len(part) > _CACHE:
-                self.clear()
-            rows = self.rows
-            for w in set(part).difference(rows):
-                self.scores[len(rows)] = self.word(w)
-                rows[w] = len(rows)
-            total += self.scores[np.fromiter(map(rows.__getitem__, part), dtype=np.int64, count=len(part))].sum(axis=0, dtype=np.float64)
+        for k in range(0, len(words), _CACHE // 2):
+            part = words[k : k + _CACHE // 2]
+            while not self.rows.keys() >= set(part):
+                self._learn(part)
+            total += self.scores[np.fromiter(map(self.rows.__getitem__, part), dtype=np.int64, count=len(part))].sum(axis=0, dtype=np.float64)
         best = int(total.argmax())
         return self.langs[best], float(1 / np.exp(np.minimum(total - total[best], 0)).sum())
 
@@ -129,13 +194,13 @@ class Scorer:
 def _answers(docs: DataFrame, model: Model) -> Callable[[list[str | None]], list[tuple[str, float]]]:
     """For texts on an executor: language and confidence."""
     small_batches(docs)
-    sent, uid = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
+    sent, uid = docs.sparkSession.sparkContext.broadcast(tuple(model)), model.uid
 
     def answers(texts: list[str | None]) -> list[tuple[str, float]]:
         state = worker_state("language")
         if state.get("scorer", (None,))[0] != uid:
-            state["scorer"] = (uid, Scorer(sent.value))
-        return list(map(state["scorer"][1].document, texts))
+            state["scorer"] = (uid, Scorer(Model(*sent.value)))
+        return state["scorer"][1].documents(texts)
 
     return answers
 
@@ -146,7 +211,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     Texts that are null or have no letter are ``und`` with score 0, as is every text when the model has
     learned nothing. Ties go to the first language by name. Rows that repeat an id are answered each;
     an empty table gives no rows; other columns are not read; texts count whole. The model is
-    bounded by the limits of ``fit`` and broadcast.
+    bounded by the sample of ``fit`` and broadcast.
     """
     answers = _answers(docs, model)
 

@@ -267,26 +267,45 @@ def test_languages(spark):
 
 
 def test_backoff_against_brute_force(spark):
-    model = language_id.fit(samples(spark))
-    scorer = language_id.Scorer(model)
-    tables = [dict(zip(*model[k], strict=True)) for k in range(5)]
+    known = samples(spark)
+    scorer = language_id.Scorer(language_id.fit(known))
+    langs, counts = sorted(WORDS), [{} for _ in range(5)]
+    for r in known.collect():
+        for w in r.text.split():
+            for kind in range(5):
+                for g in [w] if kind == 0 else language_id.grams(w, kind):
+                    counts[kind].setdefault(g, [0, 0, 0])[langs.index(r.lang)] += 1
+
+    def score(kind, gram):
+        whole = np.array(list(counts[kind].values())).sum(axis=0)
+        return np.log((np.array(counts[kind][gram]) + 0.5) / (whole + 0.5 * (len(counts[kind]) + 1)))
 
     def brute(word):
-        if word in tables[0]:
-            return tables[0][word]
+        if word in counts[0]:
+            return score(0, word)
         for n in (4, 3, 2, 1):
-            padded = f"<{word}>" if n > 1 else word
-            hits = [tables[n][padded[k : k + n]] for k in range(len(padded) - n + 1) if padded[k : k + n] in tables[n]]
+            hits = [score(n, g) for g in language_id.grams(word, n) if g in counts[n]]
             if hits:
                 return np.mean(hits, axis=0)
         return np.zeros(3)
 
-    for word in ("katze", "katzen", "chatte", "zzz", "a", "日本"):
-        assert np.allclose(scorer.word(word), brute(word), atol=1e-5)
+    words = ["katze", "katzen", "chatte", "zzz", "a", "日本", "cat"]
+    for word, own in zip(words, scorer.words(words), strict=True):
+        assert np.allclose(own, brute(word), atol=1e-5)
+
+
+def test_a_full_cache_changes_nothing(spark, monkeypatch):
+    model = language_id.fit(samples(spark))
+    texts = ["die katze " * 40, "le chat dormait " * 30, None, "unseen words of many kinds " * 5, "the mat"]
+    wanted = language_id.Scorer(model).documents(texts)
+    monkeypatch.setattr(language_id, "_CACHE", 12)
+    scorer = language_id.Scorer(model)
+    found = [scorer.documents([t])[0] for t in texts]
+    assert [x[0] for x in found] == [x[0] for x in wanted] and np.allclose([x[1] for x in found], [x[1] for x in wanted])
 
 
 def test_nothing_learned(spark):
     model = language_id.fit(samples(spark).withColumn("lang", F.lit(None).cast("string")))
     assert [tuple(r) for r in language_id.predict(docs(spark, ["the"]), model).collect()] == [(0, "und", 0.0)]
     both = language_id.fit(samples(spark), max_docs=10)
-    assert both["langs"]
+    assert both.langs
