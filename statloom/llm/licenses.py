@@ -7,13 +7,15 @@ length, then place: what lies inside an interval that was already taken is dropp
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices, small_batches
+from .common import slices, small_batches, worker_state
 from .license_rules import Rule, rules
 
 #: Base phrases and their labels; fixed values.
@@ -32,19 +34,42 @@ def plain(text: bytes) -> tuple[bytes, int]:
     return b" " + b" ".join(words) + b" ", len(words)
 
 
-def detect(line: bytes, signatures: list[Rule]) -> list[tuple[str, int, int, float]]:
+def _places(line: bytes) -> np.ndarray:
+    """Where the space before each word stands, and the last one."""
+    return np.flatnonzero(np.frombuffer(line, dtype=np.uint8) == 32)
+
+
+class _Taken:
+    """Intervals taken so far, without those inside another: starts and ends both ascend."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def add(self, start: int, end: int) -> bool:
+        """Take an interval; False, if it lies inside of one that was taken."""
+        at = bisect.bisect_right(self.starts, start)
+        if at and self.ends[at - 1] >= end:
+            return False
+        first, last = bisect.bisect_left(self.starts, start), bisect.bisect_right(self.ends, end)
+        self.starts[first : max(first, last)], self.ends[first : max(first, last)] = [start], [end]
+        return True
+
+
+def detect(line: bytes, signatures: list[Rule], places: np.ndarray | None = None) -> list[tuple[str, int, int, float]]:
     """Resolved detections ``(label, first word, words, confidence)`` in the order of the text."""
+    places = _places(line) if places is None else places
     found = []
     for rule in signatures:
         if rule.keyword in line:
-            for m in rule.pattern.finditer(line):
-                found.append((-rule.priority, -m.group().count(b" ") - 1, line.count(b" ", 0, m.start()) - 1, rule.label, rule.confidence))
+            spans = [m.span() for m in rule.pattern.finditer(line)]  # of words, without the spaces around them
+            if spans:
+                first, after = (np.searchsorted(places, x).tolist() for x in np.array(spans).T)
+                found += [(-rule.priority, a - b - 1, a - 1, rule.label, rule.confidence) for a, b in zip(first, after, strict=True)]
     found.sort()
-    taken: list[tuple[str, int, int, float]] = []
-    for _, minus, first, label, confidence in found:
-        if not any(a <= first and first - minus <= a + n for _, a, n, _ in taken):
-            taken.append((label, first, -minus, confidence))
-    return sorted(taken, key=lambda d: d[1:])
+    taken = _Taken()
+    kept = [(label, first, -minus, confidence) for _, minus, first, label, confidence in found if taken.add(first, first - minus)]
+    return sorted(kept, key=lambda d: d[1:])
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -56,14 +81,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("licences")  # drops what another operator has left
         signatures = rules()
         for batch in slices(batches):
             counts, base, found = [], [], []
             for text in batch.column(1).cast(pa.binary()).to_pylist():
                 line, n = plain(text or b"")
+                places = _places(line)
                 counts.append(n)
-                base.append([{"label": label, "first_word": line.count(b" ", 0, m.start()) - 1} for p, phrase, label in _BASE if phrase in line for m in p.finditer(line)])
-                found.append([{"label": a, "first_word": b, "words": c, "confidence": d} for a, b, c, d in detect(line, signatures)])
+                own = [(label, [m.start() for m in p.finditer(line)]) for p, phrase, label in _BASE if phrase in line]
+                base.append([{"label": label, "first_word": k} for label, at in own for k in (np.searchsorted(places, at) - 1).tolist()])
+                found.append([{"label": a, "first_word": b, "words": c, "confidence": d} for a, b, c, d in detect(line, signatures, places)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(base, pa.list_(pa.struct([("label", pa.string()), ("first_word", pa.int64())]))), pa.array(found, pa.list_(DETECTION))], names=["doc_id", "n_words", "base", "detections"])
 
     return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCANNED)

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -93,6 +94,41 @@ def test_containment_and_priority():
     assert labels("") == []
 
 
+def brute_detections(text):
+    """Every rule on every word, all against all."""
+    line = licenses.plain(text.encode())[0]
+    found = []
+    for r in license_rules.rules():
+        for m in r.pattern.finditer(line):
+            words = m.group().decode().split()
+            found.append((-r.priority, -len(words), len(line[: m.start()].split()), r.label, r.confidence))
+    kept = []
+    for _, minus, first, label, confidence in sorted(found):
+        if not any(a <= first and first - minus <= a + n for _, a, n, _ in kept):
+            kept.append((label, first, -minus, confidence))
+    return sorted(kept, key=lambda d: d[1:])
+
+
+PHRASES = "mit license|the mit license|apache license version 2 0|apache license|licensed under the apache license version 2 0|gnu lesser general public license v2 1|gnu general public license|spdx license identifier|gpl 3 0 or later|bsd 3 clause|word|9|, ".split("|")
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.sampled_from(PHRASES), max_size=25))
+def test_detections_against_brute_force(phrases):
+    text = " ".join(phrases)
+    assert licenses.detect(licenses.plain(text.encode())[0], license_rules.rules()) == brute_detections(text)
+
+
+def test_long_texts_of_licences_take_linear_time():
+    rules, took = license_rules.rules(), []
+    for n in (4000, 16_000):
+        line = licenses.plain(b"the mit license and the apache license version 2 0 " * n)[0]
+        began = time.process_time()
+        licenses.detect(line, rules)
+        took.append(time.process_time() - began)
+    assert took[1] < 10 * took[0]
+
+
 def brute_base(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     at = [(k, label) for k in range(len(words)) for phrase, label in (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")) if words[k : k + len(phrase.split())] == phrase.split()]
