@@ -17,7 +17,7 @@ import heapq
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import materialise, shuffle_partitions
+from .common import materialise, shuffle_partitions, small
 
 BUCKET, BINS, FINE = 20_000, 96, 0.05
 
@@ -80,7 +80,7 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text, F.octet_length(text)).alias("item"))
-    base = materialise(base, "sizes")
+    base = materialise(base.withColumn("row", F.monotonically_increasing_id()), "sizes")
     rows = base.count()
     items = base.groupBy("item").agg(F.sum("size").alias("weight"))
     rounds, count = [], rows
@@ -93,14 +93,15 @@ def shard(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str =
     while rounds:
         at = rounds.pop().join(at.withColumnRenamed("item", "parent"), "parent").select("item", "shard")
     # a group of many rows is split by the skew handling of the join
-    sharded = base.join(at, "item").select("doc_id", "size", "text_crc32", "shard")
+    sharded = base.join(at, "item").select("doc_id", "size", "text_crc32", "shard", "row")
 
+    # slots: places in each range of a shard, and the rows of the shard in the ranges before
+    order = ["shard", F.col("doc_id").asc_nulls_first(), "text_crc32", "row"]
     parts = max(shuffle_partitions(docs.sparkSession), rows // 200_000)
-    ranged = materialise(sharded.repartitionByRange(parts, "shard", F.col("doc_id").asc_nulls_first(), "text_crc32").withColumn("part", F.spark_partition_id()), "ranged")
-    before, offsets = [0] * shards, []
-    for r in sorted(ranged.groupBy("part", "shard").count().collect()):
-        offsets.append((r["part"], r["shard"], before[r["shard"]]))
-        before[r["shard"]] += r["count"]
-    offsets = docs.sparkSession.createDataFrame(offsets, "part int, shard int, before long")
-    order = Window.partitionBy("part", "shard").orderBy(F.col("doc_id").asc_nulls_first(), "text_crc32")
-    return ranged.join(F.broadcast(offsets), ["part", "shard"]).select("doc_id", "size", "text_crc32", "shard", (F.row_number().over(order) - 1 + F.col("before")).alias("slot"))
+    ranged = materialise(sharded.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "ranged")
+    counts = ranged.groupBy("shard", "part").agg(F.count("*").alias("n"))
+    upto = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("shard", "part", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
+    before = small(materialise(before, "before"))  # a row for each range, and one more for each shard
+    own = Window.partitionBy("part", "shard").orderBy(*order[1:])
+    return ranged.join(before, ["part", "shard"]).select("doc_id", "size", "text_crc32", "shard", (F.row_number().over(own) - 1 + F.col("before")).alias("slot"))

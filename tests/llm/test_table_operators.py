@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import zlib
 from collections import Counter
 
 import duckdb
@@ -60,6 +61,38 @@ def test_shards(spark, monkeypatch, bucket):
     assert sharding.shard(docs(spark, []), 8).count() == 0
 
 
+def test_shards_are_as_even_as_differencing_makes_them(spark):
+    """On few groups the operator is plain differencing; over several rounds the spread stays below a small group."""
+    rng = random.Random(2)
+    texts = ["x" * rng.randint(0, 4000) + str(k) for k in range(500)] + ["twin"] * 40
+    found = sharding.shard(docs(spark, texts), 8).toPandas()
+    sizes = found.groupby("shard")["size"].sum()
+    weights = Counter()
+    for t in texts:
+        weights[t] += len(t) + 1
+    parts = sharding.difference(sorted(weights.values(), reverse=True), 8)
+    plain = [sum(w for w, p in zip(sorted(weights.values(), reverse=True), parts, strict=True) if p == k) for k in range(8)]
+    assert sizes.max() - sizes.min() == max(plain) - min(plain) <= 5
+
+
+def test_sharding_query_at_the_edges(spark, tmp_path):
+    texts = [None, "", "a", "a", None, "é" * 100_000, "b"]
+    ids = [3, 3, None, 1, None, 2, 2]
+    docs(spark, texts, ids).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op3_sharding(spark, str(tmp_path)).collect()
+    wanted = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in zip(ids, texts, strict=True))
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in found) == wanted and all(r.law == "bytes" and r.grown_shard is None for r in found)
+    for shard in {r.shard for r in found}:
+        own = sorted((r.slot, r.doc_id is not None, r.doc_id or 0) for r in found if r.shard == shard)
+        assert [x[0] for x in own] == list(range(len(own))) and [x[1:] for x in own] == sorted(x[1:] for x in own)
+
+
+def test_rows_of_one_id_are_spread(spark):
+    same = spark.range(3000).select(F.lit(5).alias("doc_id"), F.lit("copy").alias("text"))
+    found = sharding.shard(same, 3).collect()
+    assert sorted(r.slot for r in found) == list(range(3000)) and len({r.shard for r in found}) == 1
+
+
 # ---- classifier
 
 
@@ -351,6 +384,20 @@ def test_fingerprints_against_brute_force(spark, tmp_path):
         assert math.isclose(r.near_edited, np.mean(np.array(a) == b)) and math.isclose(r.near_next, np.mean(np.array(a) == c))
 
 
+def test_groups_are_even_whatever_the_ids(spark):
+    ids = [*range(2000), 2**60, -(2**63), 2**63 - 1, *range(10**15, 10**15 + 500), *range(0, 10**9, 10**6)]
+    ids = sorted(set(ids))
+    placed, parts = fingerprint.neighbours(spark.createDataFrame([(i, str(i)) for i in ids] + [(None, "")], "doc_id long, text string"))
+    rows = placed.collect()
+    own = sorted((r.doc_id, r.g) for r in rows if not r.after and r.doc_id is not None)
+    assert [i for i, _ in own] == ids and [g for _, g in own] == sorted(g for _, g in own)
+    assert max(Counter(g for _, g in own).values()) <= len(ids) // parts
+    firsts = {g: min(i for i, x in own if x == g) for g in {g for _, g in own}}
+    for r in rows:
+        if r.after and r.doc_id is not None:
+            assert firsts[r.g + 1] == r.doc_id
+
+
 def test_collision_rate_is_generalised_jaccard(spark):
     one, two = {"a": 4, "b": 1, "c": 2, "d": 1}, {"a": 2, "b": 3, "c": 2, "e": 2}
     wanted = sum(min(one.get(w, 0), two.get(w, 0)) for w in "abcde") / sum(max(one.get(w, 0), two.get(w, 0)) for w in "abcde")
