@@ -9,13 +9,16 @@ sample with a probability of their generalised Jaccard similarity, sum of minima
 A sample is kept as one long: ``ln a`` in fixed point above 32 bits that name the word and its ``t``;
 so a plain ``min`` draws it inside a hash aggregate.
 
-Documents are dealt to groups of neighbouring ids (by a histogram of at most ``CELLS`` cells, the only
-thing the driver sees), the first row of each group also to the group before it. That one shuffle
+Documents are dealt to groups of neighbouring ids (by histograms of about ``CELLS`` cells, the only
+thing the driver sees, finer where ids are dense), the first row of each group also to the group before it. That one shuffle
 serves everything: the next document, the counts, the samples and the comparisons.
 """
 
 from __future__ import annotations
 
+import bisect
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import shuffle_partitions
@@ -66,34 +69,83 @@ def likeness(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) / F.size(a)
 
 
-def _pick(values: list, at: Column, kind: str) -> Column:
-    """``values[at]`` for a list that becomes one literal."""
-    return F.element_at(F.split(F.lit(",".join("" if v is None else str(v) for v in values)), ","), at + 1).try_cast(kind)
+def _pick(at: Column, values: dict, kind: str) -> Column:
+    """``values[at]`` from a list that becomes one literal; null for what is not there."""
+    every = ",".join("" if (v := values.get(k)) is None else str(v) for k in range(max(values, default=0) + 1))
+    return F.get(F.split(F.lit(every), ","), at).try_cast(kind)
+
+
+class _Level(NamedTuple):
+    """Cells of one level: a row's cell, where each node's cells begin, and by cell ``(rows, least id, node of the next level)``."""
+
+    cell: Column
+    starts: list[int]
+    found: dict[int, tuple[int, int | None, int | None]]
+
+
+def _histogram(docs: DataFrame, fill: int, cells: int) -> list[_Level]:
+    """Cells of ids, finer where ids are dense.
+
+    A cell of more than twice ``fill`` rows and more than one id is a node of the next level, where it falls
+    apart into cells of its own; so ids far from all others cost a level, not a large cell.
+    """
+    low, high = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    levels: list[_Level] = []
+    nodes = [(low or 0, high or 0)]
+    while nodes:
+        starts, shifts, lows, total = [], [], [], 1  # cell 0 is that of null ids
+        for low, high in nodes:
+            shift = 0
+            while (high >> shift) - (low >> shift) >= max(2, cells // len(nodes)):
+                shift += 1
+            starts.append(total)
+            shifts.append(shift)
+            lows.append(low >> shift)
+            total += (high >> shift) - (low >> shift) + 1
+        if levels:
+            node = _pick(levels[-1].cell, {c: at for c, (_, _, at) in levels[-1].found.items()}, "int")
+            own = dict(enumerate(zip(shifts, lows, starts, strict=True)))
+            shift, low, start = (_pick(node, {k: v[i] for k, v in own.items()}, kind) for i, kind in enumerate(("int", "long", "int")))
+            cell = (F.call_function("shiftright", "doc_id", shift) - low + start).cast("int")
+        else:
+            cell = F.coalesce(F.shiftright("doc_id", shifts[0]) - F.lit(lows[0]) + 1, F.lit(0)).cast("int")
+        nodes, found = [], {}
+        for r in sorted(docs.groupBy(cell.alias("cell")).agg(F.count("*"), F.min("doc_id"), F.max("doc_id")).where("cell is not null").collect()):
+            c, n, low, high = r
+            split = n > 2 * fill and low is not None and low < high
+            found[c] = (n, low, len(nodes) if split else None)
+            nodes += [(low, high)] if split else []
+        levels.append(_Level(cell, starts, found))
+    return levels
 
 
 def neighbours(docs: DataFrame) -> tuple[DataFrame, int]:
     """Rows of ``doc_id, text`` with ``g, after`` (1: the row that follows group ``g``), and the partitions for them."""
-    low, high, rows = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    cells = min(CELLS, max(256, rows // 100))
-    low, high, shift = low or 0, high or 0, 0
-    while (high >> shift) - (low >> shift) >= cells:
-        shift += 1
-    cell = F.coalesce(F.shiftright("doc_id", shift) - F.lit(low >> shift) + 1, F.lit(0)).cast("int")
-    found = {r.cell: (r.n, r.first) for r in docs.groupBy(cell.alias("cell")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first")).collect()}
+    rows = docs.count()
     parts = max(shuffle_partitions(docs.sparkSession), -(-rows // ROWS))
-    fill = max(1, rows // (8 * parts))
-    groups, firsts, held = [], [], fill
-    for c in range(cells + 2):
-        if c in found:
-            if held >= fill:
-                firsts.append(found[c][1])
-                held = 0
-            held += found[c][0]
-        groups.append(max(0, len(firsts) - 1))
-    at = docs.withColumn("g", _pick(groups, cell, "int"))
+    fill = max(1, rows // (8 * parts), 8 * rows // CELLS)
+    levels = _histogram(docs, fill, min(CELLS, max(256, rows // 100)))
+    groups: list[dict[int, int]] = [{} for _ in levels]
+    order = [sorted(x.found) for x in levels]
+    firsts, held, open_ = [], fill, [(0, c) for c in reversed(order[0])]
+    while open_:  # cells in the order of ids
+        level, c = open_.pop()
+        n, first, node = levels[level].found[c]
+        if node is not None:
+            level += 1
+            first, last = (bisect.bisect_left(order[level], levels[level].starts[k]) if k < len(levels[level].starts) else None for k in (node, node + 1))
+            open_ += [(level, k) for k in reversed(order[level][first:last])]
+            continue
+        if held >= fill:
+            firsts.append(first)
+            held = 0
+        held += n
+        groups[level][c] = len(firsts) - 1
+    g = F.coalesce(*(_pick(x.cell, of, "int") for x, of in zip(levels[::-1], groups[::-1], strict=True)), F.lit(0))
+    at = docs.withColumn("g", g)
     own = F.struct("g", F.lit(0).alias("after"))
     before = F.struct(F.when(F.col("g") == 0, F.lit(max(0, len(firsts) - 1))).otherwise(F.col("g") - 1).alias("g"), F.lit(1).alias("after"))
-    first = F.col("doc_id").eqNullSafe(_pick(firsts or [None], F.col("g"), "long"))
+    first = F.col("doc_id").eqNullSafe(_pick(F.col("g"), dict(enumerate(firsts)), "long"))
     return at.withColumn("to", F.explode(F.when(first, F.array(own, before)).otherwise(F.array(own)))).select("doc_id", "text", "to.g", "to.after"), parts
 
 
@@ -106,7 +158,7 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES, with_text: bool = True
     document's; documents follow by ascending id (null first, then by text), the first comes after the
     last, so a single document follows itself. Null texts are empty; texts without words are one term
     of their own; equal texts have equal fingerprints. Rows that repeat an id are documents of their
-    own. An empty table gives no rows; other columns are not read; texts count whole.
+    own, in one group. An empty table gives no rows; other columns are not read; texts count whole.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     placed, parts = neighbours(docs)
