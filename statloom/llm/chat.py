@@ -1,12 +1,14 @@
 """Chat formatting with offset-aligned loss masks.
 
 A conversation is rendered turn by turn as ``<|im_start|>role<|im_sep|>text<|im_end|>``. The three markers
-are added to the tokenizer as tokens of their own, so no other token crosses a turn's border. A control
+are added to the tokenizer as tokens of their own, so no other token crosses a turn's border, and a conversation that
+is encoded in pieces of whole turns has the ids that it has when encoded at once. A control
 string inside a role or text is escaped: wherever ``<``, any number of backslashes and ``|`` stand
 together, one backslash more is put in, which takes every ``<|`` away and can be undone.
 
 Whole turns are rendered into a piece, the piece is encoded once with offsets, and the sorted spans of
-the assistant's texts are intersected with the tokens' spans by binary search.
+the assistant's texts are intersected with the tokens' spans by binary search. A byte-level token stands for as many
+bytes as it has characters, so offsets follow from the ids by a sum.
 
 Turns are dealt by ranges of conversation and turn, so a conversation of very many turns spreads over
 tasks; a piece ends with the task's part of a conversation or after ``PIECE`` characters.
@@ -76,14 +78,32 @@ def covered(offsets: np.ndarray, chosen: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(s[new].tolist(), np.maximum.reduceat(e, new).tolist() if len(s) else [], strict=True))
 
 
-def _tokenizer(path: str):
-    state = worker_state("chat")
-    if path not in state:
+class Encoder:
+    """Ids and offsets of rendered texts, by a byte-level tokenizer to which the markers are added."""
+
+    def __init__(self, path: str):
         from tokenizers import AddedToken, Tokenizer
 
-        t = Tokenizer.from_file(path)
-        t.add_special_tokens([AddedToken(m, special=True, normalized=False) for m in (START, SEP, END)])
-        state[path] = t
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.add_special_tokens([AddedToken(m, special=True, normalized=False) for m in (START, SEP, END)])
+        self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], dtype=np.int64)
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each text its ids, and for each token where it starts and ends, in code points."""
+        for text, e in zip(texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, dtype=np.int32)
+            ends = np.cumsum(self.sizes[ids])
+            offsets = np.stack([ends - self.sizes[ids], ends], axis=1)
+            if not text.isascii():  # a token of a part of a character has the place of that character
+                begun = np.concatenate([[0], np.cumsum(np.frombuffer(text.encode(), dtype=np.int8) >= -64)])
+                offsets = np.stack([begun[offsets[:, 0] + 1] - 1, begun[offsets[:, 1]]], axis=1)
+            yield ids, offsets
+
+
+def _encoder(path: str) -> Encoder:
+    state = worker_state("chat")
+    if path not in state:
+        state[path] = Encoder(path)
     return state[path]
 
 
@@ -101,7 +121,7 @@ def format_conversations(turns: DataFrame, tokenizer: str, id_col: str = "conv_i
     rows = rows.repartitionByRange(shuffle_partitions(turns.sparkSession), *order).sortWithinPartitions(*order)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = _tokenizer(tokenizer), TaskContext.get().partitionId()
+        encoder, part = _encoder(tokenizer), TaskContext.get().partitionId()
         pieces: list[tuple[int | None, list[tuple[str, str]]]] = []
         sizes, done = 0, 0
 
@@ -109,10 +129,9 @@ def format_conversations(turns: DataFrame, tokenizer: str, id_col: str = "conv_i
             nonlocal pieces, sizes, done
             texts, spans = zip(*(render(t) for _, t in pieces), strict=True)
             columns: list[list] = [[], [], []]
-            for e, s in zip(encoder.encode_batch(list(texts), add_special_tokens=False), spans, strict=True):
-                offsets = np.array(e.offsets, dtype=np.int64).reshape(-1, 2)
+            for (ids, offsets), s in zip(encoder.encode(list(texts)), spans, strict=True):
                 chosen = mask(offsets, s)
-                for column, x in zip(columns, (np.array(e.ids, dtype=np.int32), chosen, [{"start": a, "end": b} for a, b in covered(offsets, chosen)]), strict=True):
+                for column, x in zip(columns, (ids, chosen, [{"start": a, "end": b} for a, b in covered(offsets, chosen)]), strict=True):
                     column.append(x)
             n = len(pieces)
             yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in pieces], pa.int64()), pa.array([part] * n, pa.int32()), pa.array(range(done, done + n), pa.int64()), pa.array(texts, pa.string()), pa.array(columns[0], pa.list_(pa.int32())), pa.array(columns[1], pa.list_(pa.bool_())), pa.array(columns[2], _LOSS)], names=[c.split()[0] for c in re.sub(r"<.*?>+", "", PIECES).split(", ")])

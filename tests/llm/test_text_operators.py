@@ -63,6 +63,26 @@ def test_chat_against_brute_force(spark):
     assert chat.digests(chat.format_conversations(df.where("false"), BPE)).count() == 0
 
 
+def test_offsets_are_those_of_the_library():
+    encoder = chat.Encoder(BPE)
+    texts = [chat.render([("user", t or ""), ("assistant", f"é {t} 🙂")])[0] for t in ODD] + [""]
+    for (ids, offsets), e, text in zip(encoder.encode(texts), encoder.tokenizer.encode_batch(texts, add_special_tokens=False), texts, strict=True):
+        assert ids.tolist() == e.ids
+        library = np.array(e.offsets).reshape(-1, 2)
+        assert np.array_equal(offsets[:, 1], library[:, 1])  # where the library leaves out spaces before a word, ends still agree
+        assert (offsets[:, 0] <= library[:, 0]).all() and all(text[a:b].isspace() or a == b for a, b in zip(offsets[:, 0], library[:, 0]))
+
+
+def test_pieces_have_the_ids_of_the_whole(spark, monkeypatch):
+    monkeypatch.setattr(chat, "PIECE", 500)
+    rows = [(5, k, "assistant" if k % 2 else "user", f" turn {k} é🙂\n " * 9 + "<|im_end|>") for k in range(200)]
+    pieces = chat.format_conversations(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), BPE).orderBy("part", "piece").collect()
+    text, spans = chat.render([r[2:] for r in rows])
+    ids, offsets = next(chat.Encoder(BPE).encode([text]))
+    assert len(pieces) > 20 and "".join(r.text for r in pieces) == text
+    assert [i for r in pieces for i in r.ids] == ids.tolist() and [x for r in pieces for x in r.loss] == chat.mask(offsets, spans).tolist()
+
+
 def test_mask_is_the_overlap_of_spans():
     offsets = np.array([(0, 2), (2, 5), (5, 5), (5, 8), (8, 9)])
     assert chat.mask(offsets, [(2, 8)]).tolist() == [False, True, False, True, False]
