@@ -155,7 +155,10 @@ def format_conversations(turns: DataFrame, tokenizer: str, id_col: str = "conv_i
 
 
 def digests(pieces: DataFrame) -> DataFrame:
-    """One row per conversation, read back from its pieces: numbers and digests of turns and of the text under the mask."""
+    """One row per conversation, read back from its pieces: numbers and digests of turns and of the text under the mask.
+
+    A digest is sequential, so one task streams the pieces of a conversation; it holds one at a time.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]

@@ -200,8 +200,8 @@ def _above(docs: DataFrame, model: Model) -> Callable[[list[str | None]], np.nda
 def score(docs: DataFrame, model: Model, wanted: int, least: float = 0.65, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, expected_grade, tail`` (probability of grade ``wanted`` or more), ``kept``.
 
-    Kept are documents whose tail is ``least`` or more. Null texts are empty texts; repeated rows are
-    scored each; an empty table gives no rows; other columns are not read; texts count whole.
+    Kept are documents whose tail is ``least`` or more. Null texts are empty texts; rows with a null
+    id and repeated rows are scored each; an empty table gives no rows; other columns are not read; texts count whole.
     """
     above = _above(docs, model)
 

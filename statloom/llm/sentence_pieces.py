@@ -26,7 +26,9 @@ MARK = "▁"
 #: Kinds of pieces and of models in the protobuf; fixed values.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-_CACHE, _JOIN, _STEP = 1_500_000, 400, 1_000_000
+CACHE_BYTES, _JOIN, _STEP = 240 << 20, 400, 1_000_000
+#: What Python needs for a word, its ids and their place in the cache, beside their characters.
+_ENTRY = 190
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 
@@ -88,8 +90,8 @@ def _merges(pieces: list[tuple[str, float, int]]) -> list[tuple[str, str]]:
 class Codec:
     """Encodes and decodes whole texts as the model does."""
 
-    def __init__(self, path: str):
-        from tokenizers import Regex, Tokenizer, models, normalizers, pre_tokenizers
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
+        from tokenizers import AddedToken, Regex, Tokenizer, models, normalizers, pre_tokenizers
 
         with open(path, "rb") as f:
             self.model = m = read_model(f.read())
@@ -101,6 +103,8 @@ class Codec:
         else:
             core = models.BPE({p: i for i, (p, _, _) in enumerate(m.pieces)}, _merges(m.pieces), unk_token=m.pieces[unknown][0], fuse_unk=True, byte_fallback=m.byte_fallback)
         self.tokenizer = Tokenizer(core)
+        if m.kind == BPE:  # such pieces are never merged with what stands beside them
+            self.tokenizer.add_tokens([AddedToken(p, normalized=False) for p, _, kind in m.pieces if kind == USER_DEFINED])
         self.tokenizer.pre_tokenizer = pre_tokenizers.Split("\0", "removed")
         steps = ([normalizers.Precompiled(m.charsmap)] if m.charsmap else []) + ([normalizers.Replace(Regex(" {2,}"), " "), normalizers.Strip()] if m.trim else [])
         self.normaliser = normalizers.Sequence(steps) if steps else None
@@ -108,6 +112,7 @@ class Codec:
         self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else b"" if kind == CONTROL else " ⁇ ".encode() if kind == UNKNOWN else p.replace(MARK, " ").encode() for p, _, kind in m.pieces]
         self.sizes = np.array([1 if kind == BYTE else len(p.encode()) for p, _, kind in m.pieces], dtype=np.int64)
         self.cache: dict[str, bytes] = {}
+        self.held, self.most = 0, cache_bytes
 
     def normalise(self, text: str) -> str:
         """The text as the pieces see it."""
@@ -141,15 +146,18 @@ class Codec:
             for w, end in zip(g, (4 * till).tolist(), strict=True):
                 self.cache[w] = raw[at:end]
                 at = end
+            self.held += _ENTRY * len(g) + sum(map(len, g)) + len(raw)
         for w in set(missing).difference(joined):
-            self.cache[w] = np.array(self._alone(w), dtype="<u4").tobytes()
+            self.cache[w] = ids = np.array(self._alone(w), dtype="<u4").tobytes()
+            self.held += _ENTRY + len(w) + len(ids)
         cache = self.cache
         for words in held:
             yield b"".join([cache[w] for w in words])
-        if len(cache) > _CACHE:  # short words come back more often
+        if self.held > self.most:  # short words come back more often
             self.cache = {w: ids for w, ids in cache.items() if len(w) <= 8}
-            if len(self.cache) > _CACHE // 2:
-                self.cache = {}
+            self.held = sum(_ENTRY + len(w) + len(ids) for w, ids in self.cache.items())
+            if self.held > self.most // 2:
+                self.cache, self.held = {}, 0
 
     def _alone(self, word: str) -> list[int]:
         """Of a word that can't share a text with others, as it may hold the character that parts them."""

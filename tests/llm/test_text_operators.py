@@ -194,9 +194,8 @@ def _codec():
     return _held.setdefault("codec", sentence_pieces.Codec(SPM)) if "codec" not in _held else _held["codec"]
 
 
-def test_unigram_models_keep_their_scores(tmp_path):
-    """A small unigram model with byte fallback, put together field by field."""
-    import sentencepiece
+def toy_model(path, pieces, kind):
+    """A small model with byte fallback, put together field by field."""
 
     def field(number, data):
         if isinstance(data, int):
@@ -207,14 +206,37 @@ def test_unigram_models_keep_their_scores(tmp_path):
     def piece(text, score, kind):
         return field(1, field(1, text.encode()) + bytes([2 << 3 | 5]) + np.array(score, dtype="<f4").tobytes() + field(3, kind))
 
-    pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)]
-    pieces += [("▁", -2.0, 1), ("▁ab", -1.0, 1), ("a", -3.0, 1), ("b", -3.1, 1), ("ab", -4.0, 1), ("abc", -4.5, 1), ("c", -3.3, 1)]
-    raw = b"".join(piece(*p) for p in pieces) + field(2, field(3, 1) + field(35, 1)) + field(3, field(1, b"identity") + field(4, 0))
-    path = tmp_path / "unigram.model"
-    path.write_bytes(raw)
-    codec, library = sentence_pieces.Codec(str(path)), sentencepiece.SentencePieceProcessor(model_file=str(path))
-    texts = ["abc ab", "cab abcab", "", "é ab", "a  b"]
-    assert [np.frombuffer(i, dtype="<u4").tolist() for i in codec.encode(texts)] == library.encode(texts)
+    every = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{b:02X}>", 0.0, 6) for b in range(256)] + pieces
+    path.write_bytes(b"".join(piece(*p) for p in every) + field(2, field(3, kind) + field(35, 1)) + field(3, field(1, b"identity") + field(4, 0)))
+    return str(path)
+
+
+def same_as_the_library(path, texts):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    assert [np.frombuffer(i, dtype="<u4").tolist() for i in sentence_pieces.Codec(path).encode(texts)] == library.encode(texts)
+
+
+def test_unigram_models_keep_their_scores(tmp_path):
+    pieces = [("▁", -2.0, 1), ("▁ab", -1.0, 1), ("a", -3.0, 1), ("b", -3.1, 1), ("ab", -4.0, 1), ("abc", -4.5, 1), ("c", -3.3, 1)]
+    same_as_the_library(toy_model(tmp_path / "unigram.model", pieces, 1), ["abc ab", "cab abcab", "", "é ab", "a  b"])
+
+
+def test_pieces_defined_by_the_user_are_never_merged(tmp_path):
+    pieces = [("<sep>", 0.0, 4), ("ab", 0.0, 4), ("▁a", -1.0, 1), ("bc", -2.0, 1), ("▁abc", -3.0, 1), ("ca", -4.0, 1), ("▁", -5.0, 1), ("a", -6.0, 1), ("b", -7.0, 1), ("c", -8.0, 1)]
+    same_as_the_library(toy_model(tmp_path / "bpe.model", pieces, 2), ["abc a<sep>bc abca", "<sep>", "ca<sep> <sep>ab", "<se p> é", "bca bc  abab", ""])
+
+
+def test_a_small_cache_of_words_gives_the_same_ids():
+    texts = [t for t in ODD if t] + [f"word{k} other{k * 7}" for k in range(2000)] * 2
+    assert list(sentence_pieces.Codec(SPM, 50_000).encode(texts)) == list(_codec().encode(texts))
+
+
+def test_sentence_piece_query_round_trips(spark, tmp_path):
+    docs(spark, ODD * 2, extra=True).write.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.op7_sentencepiece(spark, str(tmp_path)).collect():
+        assert r.parity and r.decoded_sha256 == hashlib.sha256(((ODD * 2)[r.doc_id] or "").encode()).hexdigest()
 
 
 # ---- packing
