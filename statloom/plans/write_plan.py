@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import warnings
+from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..errors import StatWarning
-from ..formats import STATA_RANGES, Family, Kind, TextLimitPolicy
+from ..formats import STATA_RANGES, Family, Kind, Limit, TextLimitPolicy
 from ..functions import missing as M, temporal, text
 from ..metadata import Code, Metadata, Value
 
@@ -26,11 +30,27 @@ class Measured:
     ranges: dict[str, tuple[int, int]] = field(default_factory=dict)
 
 
+@dataclass(frozen=True)
+class Label:
+    """A code and its text; ``group`` is what the code is: text, tag, whole, fraction or far (beyond Stata's integers)."""
+
+    code: Value
+    text: str
+    group: str
+
+
 @dataclass
 class LabelSet:
     name: str
-    labels: list[tuple[Value, str]]
-    tags: list[tuple[str, str]]
+    members: list[Label] = field(default_factory=list)
+
+    @property
+    def labels(self) -> list[tuple[Value, str]]:
+        return [(x.code, x.text) for x in self.members if x.group != "tag"]
+
+    @property
+    def tags(self) -> list[tuple[str, str]]:
+        return [(x.code, x.text) for x in self.members if x.group == "tag"]
 
 
 @dataclass
@@ -62,7 +82,7 @@ class ColumnPlan:
         if self.stored == "string":
             value = F.coalesce(text.cut_utf8(value, self.width) if self.cut else value, F.lit(""))
         elif self.stored == "double":
-            big = F.abs(value.cast("decimal(38,0)")) > (1 << 53) if isinstance(df.schema[self.source].dataType, T.LongType) else None
+            big = F.abs(value.cast("decimal(38,0)")) > (1 << 53) if isinstance(_value_type(df.schema[self.source].dataType), T.LongType) else None
             value = value.cast("double") if big is None else F.when(big, F.raise_error(F.lit(f"column {self.source!r}: an integer beyond 2**53 is not exact as a double"))).otherwise(value).cast("double")
         elif family.key == "dta" and STORED[self.stored] in STATA_RANGES:
             lo, hi = STATA_RANGES[STORED[self.stored]]
@@ -127,120 +147,171 @@ def stata_type(kind: T.DataType, lo: int, hi: int) -> str | None:
     return wide[0] if wide else "double"
 
 
-def _column(f: T.StructField, metadata: Metadata, family: Family, measured: Measured, policy: TextLimitPolicy) -> ColumnPlan:
-    name, kind, tagged = f.name, _value_type(f.dataType), M.is_tagged(f.dataType)
-    if tagged and not family.tagged_missing:
-        raise ValueError(f"column {name!r} has tagged missing values, for which {family.title} files have no place")
-    display = metadata.formats.get(name)
-    display = display if display and family.is_native(display) else None
+class _Shape(NamedTuple):
+    """How a column's values are stored and shown."""
+
+    stored: str
+    width: int = 8
+    display: str | None = None
+    temporal: Kind | None = None
+
+
+def _shape(name: str, kind: T.DataType, metadata: Metadata, family: Family, measured: Measured) -> _Shape | None:
+    """None for types that no variable of the family can hold."""
+    display = next((x for x in [metadata.formats.get(name)] if x and family.is_native(x)), None)
     shown = temporal.classify(family, display)
     # times come as microseconds of the day where the session has no type for them
     when = "time" if shown == "time" and isinstance(kind, T.LongType) else temporal.kind_of(kind)
-    width = 8
     if when:
-        display = display if shown == when else family.default_formats[when]
-        stored = _TEMPORAL[family.key].get(when, "double")
-    elif isinstance(kind, T.StringType):
-        stored = "string"
-        width = max(1, measured.widths.get(name) or metadata.storage_widths.get(name) or family.default_width)
-    elif isinstance(kind, (T.NullType, T.BooleanType, T.FloatType, T.DoubleType)) or _whole(kind):
-        stored = "double" if family.key == "sav" else _STATA.get(kind, "double")
-        if family.key == "dta" and name in measured.ranges:
-            stored = stata_type(kind, *measured.ranges[name]) or stored
-        if family.key == "sav" and display is None and not isinstance(kind, (T.FloatType, T.DoubleType)):
-            display = f"F{metadata.display_widths.get(name) or 8}.0"
-    else:
-        raise TypeError(f"column {name!r}: no {family.key} variable can hold {kind.simpleString()}")
-    most = family.limits["string value"].size
-    if width > most:
-        problem = f"column {name!r} is {width} bytes wide, more than the {most} of a {family.title} string"
-        if policy != "truncate":
-            raise ValueError(f"{problem}; on_text_limits_exceeded='truncate' would cut its values")
-        warnings.warn(f"{problem}; its values are cut", StatWarning, stacklevel=4)
-        width = most
+        return _Shape(_TEMPORAL[family.key].get(when, "double"), 8, display if shown == when else family.default_formats[when], when)
+    if isinstance(kind, T.StringType):
+        known = (x for x in (measured.widths.get(name), metadata.storage_widths.get(name), family.default_width) if x)
+        return _Shape("string", max(1, next(known)), display)
+    real = isinstance(kind, (T.FloatType, T.DoubleType))
+    if not (real or _whole(kind) or isinstance(kind, (T.NullType, T.BooleanType))):
+        return None
+    if family.key == "sav":
+        return _Shape("double", 8, display if display or real else f"F{metadata.display_widths.get(name) or 8}.0")
+    needed = stata_type(kind, *measured.ranges[name]) if name in measured.ranges else None
+    return _Shape(needed or _STATA.get(kind, "double"), 8, display)
+
+
+class _Draft(NamedTuple):
+    """A column with all that is declared of it, before it is known to fit."""
+
+    name: str
+    kind: T.DataType
+    tagged: bool
+    shape: _Shape | None
+    declared: list[Value]
+    family: Family
+
+    @property
+    def text(self) -> bool:
+        return isinstance(self.kind, T.StringType)
+
+
+#: What no column may be: a condition, and how it is told.
+_REFUSED: list[tuple[Callable[[_Draft], bool], str]] = [
+    (lambda d: d.shape is None, "no {family.key} variable can hold {type}"),
+    (lambda d: d.tagged and not d.family.tagged_missing, "it has tags of missing values, for which {family.title} files have no place"),
+    (lambda d: d.tagged and d.text, "it holds text, which can't be tagged missing"),
+    (lambda d: bool(d.declared) and not d.family.user_missing, "it declares missing values, which {family.title} files do not know"),
+    (lambda d: d.text and any(not isinstance(v, str) for v in d.declared), "it holds text, but declares a number missing"),
+    (lambda d: not d.text and any(isinstance(v, str) for v in d.declared), "it holds numbers, but declares a text missing"),
+]
+
+
+def _column(f: T.StructField, metadata: Metadata, family: Family, measured: Measured, policy: TextLimitPolicy) -> ColumnPlan:
+    name, kind = f.name, _value_type(f.dataType)
     discrete, span = M.parts(metadata.missing_values.get(name), name)
-    declared = [*discrete, *(span or ())]
-    if declared and not family.user_missing:
-        raise ValueError(f"column {name!r} declares missing values, which {family.title} files do not know")
-    if stored == "string" and not all(isinstance(v, str) for v in declared):
-        raise ValueError(f"column {name!r} holds text, but declares a number missing")
-    if stored == "string" and tagged:
-        raise ValueError(f"column {name!r} holds text, which can't be tagged missing")
+    draft = _Draft(name, kind, M.is_tagged(f.dataType), _shape(name, kind, metadata, family, measured), [*discrete, *(span or ())], family)
+    problems = [told.format(family=family, type=kind.simpleString()) for refused, told in _REFUSED if refused(draft)]
+    if problems:
+        raise (TypeError if draft.shape is None else ValueError)(f"column {name!r}: {'; '.join(problems)}")
+    shape = draft.shape
+    if shape.stored == "string":
+        shape = shape._replace(width=family.at_most(shape.width, "string value", f"column {name!r}", policy))
+        discrete = [family.fit(v, "missing value", f"column {name!r}", policy) for v in discrete]
+        if span:
+            span = tuple(family.fit(v, "missing value", f"column {name!r}", policy) for v in span)
+    of = {k: getattr(metadata, k).get(name) for k in ("variable_labels", "measures", "alignments", "display_widths")}
     return ColumnPlan(
         source=name,
         name=name,
-        stored=stored,
-        width=width,
-        display=display,
-        temporal=when,
-        tagged=tagged,
-        label=family.fit(metadata.variable_labels.get(name), "variable label", name, policy),
-        measure=metadata.measures.get(name) or "unknown",
-        alignment=metadata.alignments.get(name) or "unknown",
-        display_width=metadata.display_widths.get(name) or 0,
+        **shape._asdict(),
+        tagged=draft.tagged,
+        label=family.fit(of["variable_labels"], "variable label", name, policy),
+        measure=of["measures"] or "unknown",
+        alignment=of["alignments"] or "unknown",
+        display_width=of["display_widths"] or 0,
         discrete=discrete,
         span=span,
         cut=policy == "truncate",
     )
 
 
-def label_set(name: str, codes: list[Code], family: Family, policy: TextLimitPolicy) -> LabelSet:
-    """The labels of a variable as the family stores them."""
-    fitted = [(c["value"], family.fit(c["label"], "value label", f"variable {name!r}", policy) or "") for c in codes]
-    strings = [isinstance(v, str) for v, _ in fitted]
-    if family.key == "sav":
-        if any(strings) and not all(strings):
-            raise ValueError(f"{name!r} labels both texts and numbers")
-        return LabelSet(name, fitted, [])
-    lo, hi = STATA_RANGES["int"]
-    found = LabelSet(name, [], [])
-    used: set[Value] = set()
-    for value, label in fitted:
-        if isinstance(value, str):
-            if len(value) != 1 or not "a" <= value <= "z":
-                raise ValueError(f"{name!r}: a text such as {value!r} can't have a label in Stata, only numbers and the tags a to z")
-            found.tags.append((value, label))
-        elif value != value or value in (float("inf"), float("-inf")) or value != int(value):
-            raise ValueError(f"{name!r}: {value!r} is labelled, but is no integer")
-        elif not lo <= value <= hi:
-            raise ValueError(f"{name!r}: {value!r} is labelled, but outside of {lo} to {hi}")
-        else:
-            value = int(value)
-            found.labels.append((value, label))
-        if value in used:
-            raise ValueError(f"{name!r}: {value!r} has two labels")
-        used.add(value)
+def _group(code: Value, family: Family) -> str:
+    if isinstance(code, str):
+        return "tag" if family.key == "dta" and len(code) == 1 and "a" <= code <= "z" else "text"
+    if math.isfinite(code) and code == int(code):
+        lo, hi = STATA_RANGES["int"]
+        return "whole" if family.key == "sav" or lo <= code <= hi else "far"
+    return "fraction"
+
+
+#: Groups of codes that a set of labels may have together.
+_TOGETHER = {"sav": [{"text"}, {"whole", "fraction"}], "dta": [{"whole", "tag"}]}
+_WHY = {
+    "text": "a text such as {code!r} can't have a label in Stata, only integers and the tags a to z",
+    "fraction": "{code!r} is labelled, but is no integer",
+    "far": "{code!r} is labelled, but outside of Stata's integers",
+}
+
+
+def label_set(name: str, codes: list[Code], family: Family, policy: TextLimitPolicy, width: int | None = None) -> LabelSet:
+    """The labels of a variable as the family stores them; ``width`` is that of a text variable."""
+    found = LabelSet(name)
+    for c in codes:
+        code, group = c["value"], _group(c["value"], family)
+        if group == "text" and width is not None and family.key == "sav":
+            # shorter variables still have a cell of eight bytes
+            code = family.fit_to(code, Limit(max(8, width)), "labelled value", f"variable {name!r}", policy)
+        code = int(code) if group == "whole" and family.key == "dta" else code
+        found.members.append(Label(code, family.fit(c["label"], "value label", f"variable {name!r}", policy) or "", group))
+    groups = {x.group for x in found.members}
+    if not any(groups <= allowed for allowed in _TOGETHER[family.key]):
+        wrong = next((x for x in found.members if x.group in _WHY and not any(x.group in allowed for allowed in _TOGETHER[family.key])), None)
+        raise ValueError(f"{name!r}: {_WHY[wrong.group].format(code=wrong.code)}" if wrong else f"{name!r} labels both texts and numbers")
+    counts = Counter(x.code for x in found.members)  # 1 and 1.0 are one code
+    if twice := next((code for code, n in counts.items() if n > 1), None):
+        raise ValueError(f"{name!r}: {twice!r} has two labels")
+    if counts[0] > 1:
+        raise ValueError(f"{name!r}: 0 has two labels")
     return found
 
 
 def plan_labels(columns: list[ColumnPlan], metadata: Metadata, family: Family, policy: TextLimitPolicy) -> list[LabelSet]:
-    """One set for each distinct list of codes, named after the first variable that has it."""
-    sets: dict[tuple, LabelSet] = {}
+    """One set for each distinct list of codes (and width of text), named after the first variable that has it."""
+    by_codes: dict[tuple, list[ColumnPlan]] = {}
     for c in columns:
-        codes = metadata.value_labels.get(c.source)
-        if codes:
-            key = tuple((v["value"], v["label"]) for v in codes)
-            if key not in sets:
-                sets[key] = label_set(c.name, codes, family, policy)
-            c.label_set = sets[key].name
-    return list(sets.values())
+        if codes := metadata.value_labels.get(c.source):
+            by_codes.setdefault((c.width if c.stored == "string" else None, *((v["value"], v["label"]) for v in codes)), []).append(c)
+    out = []
+    for (width, *_), members in by_codes.items():
+        out.append(label_set(members[0].name, metadata.value_labels[members[0].source], family, policy, width))
+        for c in members:
+            c.label_set = out[-1].name
+    return out
+
+
+def _named(names: list[str], family: Family, rename: bool) -> dict[str, str]:
+    """The variable of each column; illegal names are changed with a warning, or an error."""
+    illegal = {n: faults for n in names if (faults := family.names.faults(n))}
+    if illegal and not rename:
+        told = "; ".join(f"{n!r} {', '.join(faults)}" for n, faults in illegal.items())
+        raise ValueError(f"no legal {family.title} variable names (writing header): {told}; pass rename_invalid_names=True to change them")
+    new = family.legal_names(names)
+    if illegal:
+        few = [f"{n!r} -> {new[n]!r}" for n in illegal][:3]
+        rest = f" and {len(illegal) - len(few)} more" if len(illegal) > len(few) else ""
+        warnings.warn(f"{len(illegal)} names are not legal in .{family.key} files and were changed: {', '.join(few)}{rest}", StatWarning, stacklevel=4)
+    return new
 
 
 def plan(schema: T.StructType, metadata: Metadata | None, family: Family, measured: Measured, *, rename_invalid_names: bool = False, on_text_limits_exceeded: TextLimitPolicy = "error") -> WritePlan:
     """Plan and check a file for rows of ``schema``; nothing is written before this returns."""
     if on_text_limits_exceeded not in ("error", "truncate"):
         raise ValueError(f"on_text_limits_exceeded is {on_text_limits_exceeded!r}, neither 'error' nor 'truncate'")
-    metadata = metadata or Metadata()
-    names = family.legal_names(schema.fieldNames()) if rename_invalid_names else {n: n for n in schema.fieldNames()}
-    renamed = {old: new for old, new in names.items() if old != new}
-    if renamed:
-        shown = [f"{old!r} -> {new!r}" for old, new in list(renamed.items())[:3]] + ([f"... +{len(renamed) - 3} more"] if len(renamed) > 3 else [])
-        warnings.warn(f"{len(renamed)} names are not legal in .{family.key} files and were changed: {', '.join(shown)}", StatWarning, stacklevel=3)
-    for n in names.values():
-        if not family.takes_name(n):
-            raise ValueError(f"column {n!r} is not a legal {family.title} variable name (writing header); pass rename_invalid_names=True to change it")
-    columns = [replace(_column(f, metadata, family, measured, on_text_limits_exceeded), name=names[f.name]) for f in schema.fields]
-    sets = plan_labels(columns, metadata, family, on_text_limits_exceeded)
-    label = family.fit(metadata.file_label, "file label", "the file", on_text_limits_exceeded)
-    notes = [family.fit(n, "note", "the file", on_text_limits_exceeded) or "" for n in metadata.notes]
-    return WritePlan(family, columns, sets, label, notes, renamed, measured.rows)
+    metadata, policy = metadata or Metadata(), on_text_limits_exceeded
+    names = _named(schema.fieldNames(), family, rename_invalid_names)
+    columns = [replace(_column(f, metadata, family, measured, policy), name=names[f.name]) for f in schema.fields]
+    return WritePlan(
+        family,
+        columns,
+        plan_labels(columns, metadata, family, policy),
+        family.fit(metadata.file_label, "file label", "the file", policy),
+        [family.fit(n, "note", "the file", policy) or "" for n in metadata.notes],
+        {old: new for old, new in names.items() if old != new},
+        measured.rows,
+    )

@@ -34,7 +34,7 @@ def test_missing_parts():
     assert missing.parts({"lo": 1, "hi": 2, "value": 9}, "v") == ([9], (1, 2))
     with pytest.raises(ValueError, match="three is the most"):
         missing.parts({"values": [1, 2, 3, 4]}, "v")
-    with pytest.raises(ValueError, match="needs the key"):
+    with pytest.raises(ValueError, match="not by 'values', nor by 'lo' and 'hi'"):
         missing.parts({"lo": 1}, "v")
 
 
