@@ -9,6 +9,8 @@ from pyspark.sql import Column, functions as F, types as T
 from ..formats import Family, Kind
 
 DAY = 86_400_000_000
+#: Below what dates and timestamps hold, whatever the epoch.
+_MOST_DAYS, _MOST_MICROS = 2e9, 9.2e18 - 2e16
 # SPSS names of formats for dates and times; fixed values.
 _SPSS: dict[str, Kind] = {
     "DATE": "date",
@@ -56,13 +58,15 @@ def to_temporal(raw: Column, family: Family, kind: Kind) -> Column:
 
     Fractions below a microsecond (for Stata dates, below a day) go to the nearest, halves to the even
     one, as ``rint`` does; SPSS dates drop the time of day. A time of day beyond 24 hours wraps, and a
-    negative one is null. Needs UTC as the session's time zone.
+    negative one is null, as are NaN, infinities and numbers that Spark's type has no value for. Needs UTC as the session's time zone.
     """
     number = raw.cast("double")
     if kind == "date":
-        days = F.floor(number / 86400) if family.key == "sav" else F.rint(number)
+        days = number / 86400 if family.key == "sav" else F.rint(number)
+        days = F.floor(F.when(F.abs(days) < _MOST_DAYS, days))
         return F.date_add(F.lit("1970-01-01").cast("date"), (days - family.epoch_days).cast("int"))
-    micros = F.rint(number * family.unit).cast("long")
+    micros = F.rint(number * family.unit)
+    micros = F.when(F.abs(micros) < _MOST_MICROS, micros).cast("long")
     if kind == "datetime":
         return F.timestamp_micros(micros - family.epoch_days * DAY).cast("timestamp_ntz")
     if kind == "time":

@@ -57,8 +57,25 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None, missing: Mappin
     return {n: Profile(*(row[f"c{i}_{k}"] for k in range(4))) for i, n in enumerate(names)}
 
 
+#: Types that a column can be read as.
+READABLE = ("string", *(t for t, _ in _INTEGERS), "float", "double")
+
+
+def readable_as(kind: T.DataType, to: str, name: str = "") -> str:
+    """``to``, if a stored column of this type can be read as it; texts stay texts and numbers numbers."""
+    if to not in READABLE:
+        raise ValueError(f"column {name!r}: no column is read as {to!r}, but as one of {', '.join(READABLE)}")
+    if (to == "string") != isinstance(kind, T.StringType):
+        raise ValueError(f"column {name!r} is stored as {kind.simpleString()}, which is not read as {to}")
+    return to
+
+
 def checked_cast(value: Column, to: str, name: str = "") -> Column:
     """A cast that raises an error where it would lose anything: fractions, range, or overflow to infinity."""
+    if to == "string":
+        return value
+    if to not in READABLE:
+        raise ValueError(f"column {name!r}: no column is read as {to!r}, but as one of {', '.join(READABLE)}")
     if to == "double":
         return value.cast(to)
     x = value.cast("double")

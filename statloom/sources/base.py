@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 import os
 from dataclasses import dataclass, field
 from typing import BinaryIO
@@ -69,6 +70,15 @@ def open_path(path: str) -> BinaryIO:
     return open(path.removeprefix("file://").removeprefix("file:"), "rb")
 
 
+def known_encoding(name: str, usual: str) -> tuple[str, list[str]]:
+    """The encoding by a name that Python knows, else the usual one and a warning."""
+    try:
+        codecs.lookup(name)
+    except LookupError:
+        return usual, [f"unknown encoding {name!r}, read as {usual}"]
+    return name, []
+
+
 def local_path(where: str | bytes | os.PathLike) -> str:
     return os.path.expanduser(os.fsdecode(where))
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from ..errors import StatError
 from ..metadata import Metadata
 from ..plans.write_plan import WritePlan
-from .base import KINDS, ROWS, Dictionary, Variable, exactly, strings
+from .base import KINDS, ROWS, Dictionary, Variable, exactly, known_encoding, strings
 
 # Fixed values of the format.
 _TYPES = {65530: ("byte", 1), 65529: ("int", 2), 65528: ("long", 4), 65527: ("float", 4), 65526: ("double", 8)}
@@ -31,7 +31,7 @@ _BITS = {"float": "u4", "double": "u8"}
 
 class _Cursor:
     def __init__(self, file: BinaryIO):
-        self.file, self.order = file, "<"
+        self.file, self.order, self.encoding = file, "<", "utf-8"
 
     def take(self, n: int) -> bytes:
         data = exactly(self.file, n)
@@ -48,11 +48,11 @@ class _Cursor:
         return struct.unpack(self.order + code, self.take(struct.calcsize("<" + code)))[0]
 
     def text(self, size: int) -> str:
-        return _text(self.take(size))
+        return self.words(self.take(size))
 
-
-def _text(raw: bytes) -> str:
-    return raw.split(b"\0", 1)[0].decode("utf-8", "replace")
+    def words(self, raw: bytes) -> str:
+        """Up to the first zero byte, in the file's encoding."""
+        return raw.split(b"\0", 1)[0].decode(self.encoding, "replace")
 
 
 def read_dictionary(file: BinaryIO, encoding: str | None = None) -> Dictionary:
@@ -66,6 +66,8 @@ def read_dictionary(file: BinaryIO, encoding: str | None = None) -> Dictionary:
         raise StatError("the file has no release number") from None
     if version not in _LAYOUT:
         raise StatError(f"release {version} of .dta is not supported")
+    usual = "utf-8" if version > 117 else "cp1252"
+    c.encoding, warned = known_encoding(encoding or usual, usual)
     c.tag("/release"), c.tag("byteorder")
     c.order = "<" if c.take(3) == b"LSF" else ">"
     c.tag("/byteorder"), c.tag("K")
@@ -73,7 +75,7 @@ def read_dictionary(file: BinaryIO, encoding: str | None = None) -> Dictionary:
     c.tag("/K"), c.tag("N")
     n = c.number("I" if version == 117 else "Q")
     c.tag("/N"), c.tag("label")
-    file_label = c.take(c.number("B" if version == 117 else "H")).decode("utf-8", "replace")
+    file_label = c.take(c.number("B" if version == 117 else "H")).decode(c.encoding, "replace")
     c.tag("/label"), c.tag("timestamp")
     c.take(c.number("B"))
     c.tag("/timestamp"), c.tag("/header"), c.tag("map")
@@ -95,7 +97,7 @@ def read_dictionary(file: BinaryIO, encoding: str | None = None) -> Dictionary:
     notes: dict[int, str] = {}
     while (mark := c.take(4)) == b"<ch>":
         body = c.take(c.number("I"))
-        owner, key, text = _text(body[:name]), _text(body[name : 2 * name]), _text(body[2 * name :])
+        owner, key, text = c.words(body[:name]), c.words(body[name : 2 * name]), c.words(body[2 * name :])
         if owner == "_dta" and key[:4] == "note" and key[4:].isdigit() and key != "note0":
             notes[int(key[4:])] = text
         c.tag("/ch")
@@ -120,7 +122,7 @@ def read_dictionary(file: BinaryIO, encoding: str | None = None) -> Dictionary:
     file.seek(start + places[11])
     found = _value_labels(c, name)
     metadata.value_labels = {v.name: [dict(x) for x in found[s]] for v, s in zip(variables, sets, strict=True) if s in found}
-    return Dictionary("dta", variables, metadata, n, at, data_start, encoding or "utf-8", c.order, version=version, long_strings=(start + places[10], start + places[11]))
+    return Dictionary("dta", variables, metadata, n, at, data_start, c.encoding, c.order, version=version, long_strings=(start + places[10], start + places[11]), warnings=warned)
 
 
 def _value_labels(c: _Cursor, name: int) -> dict[str, list[dict]]:
@@ -136,7 +138,7 @@ def _value_labels(c: _Cursor, name: int) -> dict[str, list[dict]]:
         texts = c.take(size)
         c.tag("/lbl")
         dot = _DOT["long"][0]
-        found[title] = [{"value": chr(96 + v - dot) if dot < v <= dot + 26 else v, "label": _text(texts[o:])} for v, o in sorted(zip(values, at, strict=True))]
+        found[title] = [{"value": chr(96 + v - dot) if dot < v <= dot + 26 else v, "label": c.words(texts[o:])} for v, o in sorted(zip(values, at, strict=True))]
     return found
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import dataclasses
 import json
 import os
@@ -9,17 +11,17 @@ import tempfile
 import uuid
 import warnings
 from collections.abc import Iterable, Iterator
-from typing import Any, BinaryIO
+from typing import Any, BinaryIO, get_args
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..errors import StatError, StatWarning
+from ..errors import StatError, StatWarning, told_by_executors
 from ..formats import DTA, FAMILIES, SAV, Family, SavCompression, TextLimitPolicy
 from ..functions import missing as M, temporal
 from ..metadata import Metadata
-from ..operators.profile import checked_cast, profile
+from ..operators.profile import checked_cast, profile, readable_as
 from ..plans import write_plan
 from ..plans.write_plan import Measured, WritePlan
 from . import dta, sav
@@ -31,7 +33,11 @@ Where = str | bytes | os.PathLike | BinaryIO
 
 def shared_folder(spark: SparkSession) -> str:
     """A folder that the executors see, too: ``spark.checkpoint.dir``; only where it is unset, a temporary one."""
-    folder = (spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()).removeprefix("file://")
+    sc = spark.sparkContext
+    set_folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not set_folder and not sc.master.startswith("local[") and sc.master != "local":
+        raise StatError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = (set_folder or tempfile.gettempdir()).removeprefix("file://")
     if "://" in folder:
         raise StatError(f"file objects need a shared folder that is mounted; spark.checkpoint.dir is {folder}")
     os.makedirs(folder, exist_ok=True)
@@ -52,9 +58,15 @@ def _spooled(spark: SparkSession, where: Where) -> str:
                 out.write(part)
     finally:
         where.seek(start)
+    atexit.register(_removed, path)  # tables that are read from it may run until then
     return path
 
 
+def _removed(path: str) -> None:
+    with contextlib.suppress(OSError):
+        os.remove(path)
+
+
 def _declared_widths(family: Family, metadata: Metadata) -> Metadata:
     """Storage widths as the display formats of strings declare them."""
     widths = dict(metadata.storage_widths)
@@ -84,14 +96,15 @@ class StatFile:
         self.names = [v.name for v in d.variables if wanted is None or v.name in wanted]
         metadata = _declared_widths(family, d.metadata)
         self.metadata = metadata if wanted is None else metadata.select(self.names)
-        self.num_rows = d.rows
+        self.num_rows, self.splittable = d.rows, d.splittable()
         self.tagged = family.tagged_missing and preserve_user_missing
         self.types: dict[str, str] = {}
         if scan_and_narrow_types:
             plain = self._masked(row_offset, row_limit)
             numbers = [f.name for f in plain.schema.fields if isinstance(f.dataType, T.NumericType)]
             now = {f.name: f.dataType.simpleString() for f in plain.schema.fields}
-            found = {n: p.narrow_type() for n, p in profile(plain, numbers).items()}
+            with told_by_executors():
+                found = {n: p.narrow_type() for n, p in profile(plain, numbers).items()}
             self.types = {n: t for n, t in found.items() if t != now[n]}
             whole = [n for n, t in self.types.items() if t not in ("float", "double")]
             self.metadata = self.metadata.with_integer_codes(whole)
@@ -120,7 +133,7 @@ class StatFile:
             cell = rows[f"`{name.replace('`', '``')}`"]
             kind = rows.schema[name].dataType
             if name in self.types:
-                cell = checked_cast(cell, self.types[name], name)
+                cell = checked_cast(cell, readable_as(kind, self.types[name], name), name)
             when = None if isinstance(kind, T.StringType) else temporal.classify(self.family, self.metadata.formats.get(name))
             if when:
                 cell = temporal.to_temporal(cell, self.family, when)
@@ -198,15 +211,19 @@ class _Sink:
             os.remove(self.temporary)
 
 
+def compression_level(compression: SavCompression) -> int:
+    """0 to 2, as the header of a ``.sav`` file has it."""
+    known = get_args(SavCompression)
+    if compression not in known:
+        raise ValueError(f"no compression {compression!r}; there are {', '.join(known)}")
+    return known.index(compression)
+
+
 class FileWriter:
     """Writes planned rows in parts; the file appears when it is closed with as many rows as were promised."""
 
     def __init__(self, where: Where, plan: WritePlan, compression: SavCompression = "none"):
-        if compression not in ("none", "rows", "zlib"):
-            raise ValueError(f"compression must be 'none', 'rows' or 'zlib', got {compression!r}")
-        if plan.rows < 0:
-            raise ValueError(f"the number of rows must not be negative, got {plan.rows}")
-        self.plan, self.level = plan, ("none", "rows", "zlib").index(compression)
+        self.plan, self.level = plan, compression_level(compression)
         self.rows_written, self.open = 0, True
         if plan.family.key == "dta":
             head = dta.header(plan, plan.rows)
@@ -268,14 +285,16 @@ def _encoded(df: DataFrame, plan: WritePlan, level: int) -> Iterator[tuple[bytes
                 data = sav.compress_rows(data, sav.string_cells(plan)) if level else data
             yield pa.RecordBatch.from_arrays([pa.array([data], pa.binary()), pa.array([batch.num_rows], pa.int64())], names=["data", "n"])
 
-    for row in plan.encode(df).mapInArrow(run, "data binary, n long").toLocalIterator():
-        yield bytes(row.data), row.n
+    with told_by_executors():
+        for row in plan.encode(df).mapInArrow(run, "data binary, n long").toLocalIterator():
+            yield bytes(row.data), row.n
 
 
 def _write(where: Where, df: DataFrame, metadata: Metadata | None, family: Family, compression: SavCompression, rename: bool, policy: TextLimitPolicy) -> WritePlan:
-    if compression not in ("none", "rows", "zlib"):
-        raise ValueError(f"compression must be 'none', 'rows' or 'zlib', got {compression!r}")
-    plan = write_plan.plan(df.schema, metadata, family, write_plan.measure(df), rename_invalid_names=rename, on_text_limits_exceeded=policy)
+    compression_level(compression)
+    with told_by_executors():
+        measured = write_plan.measure(df)
+    plan = write_plan.plan(df.schema, metadata, family, measured, rename_invalid_names=rename, on_text_limits_exceeded=policy)
     for p in plan.columns:
         p.cut = p.cut and p.stored == "string"
     writer = FileWriter(where, plan, compression)
@@ -332,7 +351,8 @@ def write_parts(folder: str | os.PathLike, df: DataFrame, metadata: Metadata | N
             writer.abandon()
         yield pa.RecordBatch.from_arrays([pa.array([own.rows], pa.int64())], names=["n"])
 
-    return plan.encode(df).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    with told_by_executors():
+        return plan.encode(df).mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 class StatWriter:

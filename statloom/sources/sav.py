@@ -13,7 +13,7 @@ import pyarrow as pa
 from ..errors import StatError
 from ..metadata import Metadata
 from ..plans.write_plan import ColumnPlan, WritePlan
-from .base import KINDS, ROWS, Dictionary, Variable, exactly, strings
+from .base import KINDS, ROWS, Dictionary, Variable, exactly, known_encoding, strings
 
 # Fixed values of the format.
 SYSMIS = -1.7976931348623157e308
@@ -84,6 +84,8 @@ def _missing(count: int, raw: bytes, string: bool, order: str, encoding: str) ->
     if count > 0:
         return {"values": list(values)}
     lo, hi = values[0], values[1]
+    if lo == hi:  # a range of one value is that value
+        return {"values": list(values[1:])}
     found: dict[str, Any] = {"lo": float("-inf") if lo <= LOWEST else lo, "hi": float("inf") if hi >= HIGHEST else hi}
     return found | ({"value": values[2]} if count == -3 else {})
 
@@ -140,13 +142,7 @@ def read_dictionary(file: BinaryIO, encoding: str | None = None) -> Dictionary:
     if encoding is None and 3 in more:
         page = struct.unpack(r.order + "8i", more[3][:32])[7]
         encoding = _PAGES.get(page, f"cp{page}")
-    encoding = encoding or "cp1252"
-    warned = []
-    try:
-        "".encode(encoding)
-    except LookupError:
-        warned.append(f"unknown encoding {encoding!r}, read as cp1252")
-        encoding = "cp1252"
+    encoding, warned = known_encoding(encoding or "cp1252", "cp1252")
     text = lambda b: b.decode(encoding, "replace").rstrip(" \0")
 
     long_names = {}
@@ -274,51 +270,47 @@ def _chunks(file: BinaryIO) -> Iterator[bytes]:
 
 
 def _plain_rows(source: Iterator[bytes], d: Dictionary, rows: int) -> Iterator[bytes]:
-    """Rows of byte-compressed cells, about ``ROWS`` at a time."""
-    fill, spaces = struct.pack(d.order + "d", SYSMIS), b" " * 8
-    small = [b""] + [struct.pack(d.order + "d", code - d.bias) for code in range(1, 252)]
-    out, whole, held, at, done = bytearray(), d.row_size * ROWS, b"", 0, False
-    end = None if rows < 0 else rows * d.row_size
-    given = 0
+    """Rows of byte-compressed cells, a piece of the source at a time, until ``rows`` or more are given; a negative number: all.
 
-    def more() -> bool:
-        nonlocal held, at
+    Eight codes fill a cell of the file, and the literal cells that they call for follow. Where each group begins
+    depends on the one before; all else is done for a piece at once.
+    """
+    fill, spaces = struct.pack(d.order + "d", SYSMIS), b" " * 8
+    plain = np.frombuffer(b"".join([spaces, *(struct.pack(d.order + "d", code - d.bias) for code in range(1, 252)), spaces, spaces, spaces, fill]), dtype="V8")
+    held, out, given, ended = b"", b"", 0, False
+    while not ended and (rows < 0 or given < rows):
         piece = next(source, b"")
-        held, at = held[at:] + piece, 0
-        return bool(piece)
-
-    while not done and (end is None or given + len(out) < end):
-        while len(held) - at < 72:  # eight codes and their cells
-            if not more():
-                break
-        codes = held[at : at + 8]
-        if len(codes) < 8:
-            break
-        at += 8
-        for code in codes:
-            if 0 < code < 252:
-                out += small[code]
-            elif code == 253:
-                if len(held) - at < 8:
-                    done = True
-                    break
-                out += held[at : at + 8]
-                at += 8
-            elif code == 254:
-                out += spaces
-            elif code == 255:
-                out += fill
-            elif code == 252:
-                done = True
-                break
-        if len(out) >= whole:
-            cut = len(out) // d.row_size * d.row_size
-            given += cut
-            yield bytes(out[:cut])
-            del out[:cut]
-    cut = len(out) // d.row_size * d.row_size
-    if cut:
-        yield bytes(out[:cut])
+        held += piece
+        cells = np.frombuffer(held, dtype="V8", count=len(held) // 8)
+        codes = cells.view(np.uint8).reshape(-1, 8)
+        literal = (codes == 253).sum(axis=1)
+        steps, groups, at = (literal + 1).tolist(), [], 0
+        while at < len(steps) and at + steps[at] <= len(steps):
+            groups.append(at)
+            at += steps[at]
+        begun = not piece and at < len(steps)  # the last group lacks cells
+        if begun:
+            groups.append(at)
+        first = np.array(groups, dtype=np.int64)
+        own, calls = codes[first].reshape(-1), (codes[first] == 253).reshape(-1)
+        rank = np.cumsum(calls.reshape(-1, 8), axis=1).reshape(-1)
+        found = plain[own]
+        places = np.repeat(first, 8)[calls] + rank[calls]
+        there = places < len(cells)
+        stop = np.flatnonzero(own == 252).tolist() + np.flatnonzero(calls)[~there].tolist()
+        found[np.flatnonzero(calls)[there]] = cells[places[there]]
+        kept = own != 0
+        if stop:
+            kept[min(stop) :] = False
+            ended = True
+        out += found[kept].tobytes()
+        held = held[8 * at :]
+        cut = len(out) // d.row_size * d.row_size if d.row_size else 0
+        if cut:
+            given += cut // d.row_size
+            yield out[:cut]
+            out = out[cut:]
+        ended = ended or not piece
 
 
 def _blocks(file: BinaryIO, d: Dictionary, first: int, count: int) -> Iterator[bytes]:

@@ -5,6 +5,7 @@ import struct
 import zipfile
 
 import pandas as pd
+import numpy as np
 import pytest
 
 import statloom as sl
@@ -263,6 +264,84 @@ def test_encoding_override(spark, tmp_path):
     assert sl.read_sav(spark, tmp_path / "x", encoding="latin-1")[0].first().s == "Ã©"
 
 
+def test_tagged_integers_beyond_doubles(spark, tmp_path):
+    for schema, row in (("x bigint", (2**53 + 1,)), ("x struct<value:bigint,tag:string>", ((2**53 + 1, None),))):
+        with pytest.raises(sl.StatError, match="not exact as a double"):
+            sl.write_dta(tmp_path / "x.dta", spark.createDataFrame([row], schema))
+    assert not (tmp_path / "x.dta").exists()
+    sl.write_dta(tmp_path / "y.dta", spark.createDataFrame([((2**53, None),), ((None, "c"),)], "x struct<value:bigint,tag:string>"))
+    back = sl.read_dta(spark, tmp_path / "y.dta", preserve_user_missing=True)[0].collect()
+    assert [tuple(r.x) for r in back] == [(2.0**53, None), (None, "c")]
+
+
+def test_numbers_that_are_no_dates(spark, tmp_path):
+    odd = [float("nan"), 1e20, float("inf"), -1e20, None, 86_400.0]
+    for kind, write, read, formats in (("sav", sl.write_sav, sl.read_sav, ("DATE11", "DATETIME20", "TIME8", "DTIME11")), ("dta", sl.write_dta, sl.read_dta, ("%td", "%tc", "%tcHH:MM:SS", None))):
+        values = odd if kind == "sav" else [None, 8e307, -8e307, 1e20, 1.0]
+        df = spark.createDataFrame([(x,) * 4 for x in values], "a double, b double, c double, d double")
+        write(tmp_path / f"odd.{kind}", df, sl.Metadata(formats={k: v for k, v in zip("abcd", formats, strict=True) if v}))
+        rows = read(spark, tmp_path / f"odd.{kind}")[0].drop("d").collect()
+        assert [tuple(r) for r in rows[:-1]] == [(None, None, None)] * (len(values) - 1) and None not in tuple(rows[-1])
+
+
+def test_missing_ranges_of_one_value(spark, tmp_path):
+    df = spark.createDataFrame([(float(k),) for k in range(5)], "x double")
+    sl.write_sav(tmp_path / "x.sav", df, sl.Metadata(missing_values={"x": {"lo": 2, "hi": 2, "value": 4}}))
+    back, meta = sl.read_sav(spark, tmp_path / "x.sav")
+    assert meta.missing_values["x"] == {"values": [2.0, 4.0]} and [r.x for r in back.collect()] == [0, 1, None, 3, None]
+
+
+def test_long_texts_that_are_missing(spark, tmp_path):
+    df = spark.createDataFrame([("abcdefghijkl",), ("abcdefgh",), ("other",)], "x string")
+    with pytest.raises(ValueError, match="missing value of column 'x'"):
+        sl.write_sav(tmp_path / "x.sav", df, sl.Metadata(missing_values={"x": {"values": ["abcdefghijkl"]}}))
+    sl.write_sav(tmp_path / "y.sav", df, sl.Metadata(missing_values={"x": {"values": ["abcdefgh"]}}))
+    assert [r.x for r in sl.read_sav(spark, tmp_path / "y.sav")[0].collect()] == ["abcdefghijkl", None, "other"]
+
+
+def test_encoding_of_names_and_labels(spark, tmp_path):
+    import pandas as pd
+
+    path = tmp_path / "old.dta"
+    pd.DataFrame({"größe": ["süß", "b"], "n": [1, 2]}).to_stata(path, version=118, write_index=False, variable_labels={"n": "Größe"})
+    raw = path.read_bytes()
+    df, meta = sl.read_dta(spark, path, encoding="cp1252")
+    assert meta.variable_labels["n"] == "Größe".encode().decode("cp1252") and df.columns[0] == "größe".encode().decode("cp1252")
+    with pytest.warns(sl.StatWarning, match="unknown encoding"):
+        assert sl.read_dta(spark, path, encoding="no-such")[1].variable_labels["n"] == "Größe"
+    assert raw == path.read_bytes()
+
+
+@pytest.mark.parametrize("piece", [24, 100, 1 << 20])
+def test_compressed_cells_come_back(piece):
+    from statloom.sources import sav
+    from statloom.sources.base import Dictionary
+
+    rng = np.random.default_rng(piece)
+    for cells in (1, 3, 8):
+        numbers = rng.choice([0.0, 1.0, -99.0, 151.0, 152.0, 0.5, sav.SYSMIS, -0.0], (57, cells)).astype("<f8")
+        text = rng.random(cells) < 0.4
+        numbers[:, text] = np.frombuffer(b"        ", dtype="<f8")[0] if cells % 2 else np.frombuffer(b"abc     ", dtype="<f8")[0]
+        raw = numbers.tobytes()
+        packed = sav.compress_rows(raw, text)
+        d = Dictionary("sav", [], None, 57, 8 * cells, 0, compression=1)
+        pieces = iter([packed[k : k + piece] for k in range(0, len(packed), piece)])
+        assert b"".join(sav._plain_rows(pieces, d, 57)) == raw
+        cut = packed[: len(packed) - 8] if len(packed) > 16 else packed
+        assert raw.startswith(b"".join(sav._plain_rows(iter([cut]), d, -1)))
+
+
+def test_types_that_columns_are_read_as():
+    from pyspark.sql import types as T
+
+    from statloom.operators.profile import readable_as
+
+    assert readable_as(T.DoubleType(), "int", "x") == "int" and readable_as(T.StringType(), "string", "x") == "string"
+    for kind, to in ((T.StringType(), "int"), (T.DoubleType(), "string"), (T.DoubleType(), "decimal(5,2)")):
+        with pytest.raises(ValueError, match="column 'x'"):
+            readable_as(kind, to, "x")
+
+
 @pytest.mark.parametrize(("kind", "compression"), [("dta", "none"), ("sav", "none"), ("sav", "zlib")])
 def test_a_folder_of_parts_reads_as_one_table(spark, tmp_path, kind, compression):
     df = spark.range(0, 1000, 1, 5).selectExpr("id AS n", "if(id % 7 = 0, NULL, concat('row ', id)) AS s")
