@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import os
 import sys
 import tempfile
 import uuid
@@ -100,6 +101,8 @@ def worker_state(owner: str) -> dict:
 
     The state of the operator before is dropped, so that a worker holds one at a time.
     """
+    # a worker has one core; each further thread of the tokenizers library would keep buffers of its own
+    os.environ.setdefault("RAYON_NUM_THREADS", "2")
     held = sys.modules.setdefault("_statloom_worker", ModuleType("_statloom_worker")).__dict__
     if held.get("owner") != owner:
         held["owner"], held["state"] = owner, {}

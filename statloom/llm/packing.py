@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import gc
 import heapq
+import itertools
 import re
 from collections.abc import Iterable, Iterator
 
@@ -220,15 +221,11 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 0, lin
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal base, held, tokens
-            rows, used = [], 0
-            for d, start, length, sequence, offset in assign([len(b) // 4 for _, b in held], size, linear, quadratic):
-                doc_id, raw = held[d]
-                rows.append((doc_id, start, length, raw[4 * start : 4 * (start + length)], len(raw) // 4, base + sequence, offset))
-                used = max(used, sequence + 1)
-            base, held, tokens = base + used, [], 0
-            for k in range(0, len(rows), 4096):
-                columns = zip(*rows[k : k + 4096], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_NAMES)
+            pieces = assign([len(b) // 4 for _, b in held], size, linear, quadratic)
+            while part := list(itertools.islice(pieces, 1024)):
+                rows = [(held[d][0], start, length, held[d][1][4 * start : 4 * (start + length)], len(held[d][1]) // 4, base + sequence, offset) for d, start, length, sequence, offset in part]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], names=_NAMES)
+            base, held, tokens = base + -(-tokens // size), [], 0
 
         gc.disable()  # nothing here makes reference cycles, and the cache is long to walk
         try:
