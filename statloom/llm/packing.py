@@ -35,11 +35,11 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 #: to the last of its run; that last one.
 _CHUNK = re.compile(f" ?[{_LATIN}]+(?![^{WHITE}\x00-\x40\x5b-\x60\x7b-\x7f])| ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]")
 _WORD = re.compile(f" ?[{_LATIN}]+")
-CACHE_BYTES, _SHORT = 160 << 20, 8
+CACHE_BYTES, _SHORT = 256 << 20, 8
 #: What Python needs for a key, its ids and their place in the cache, beside their characters.
 _ENTRY = 190
 #: Characters of text whose chunks are held at once; words in one text for the tokenizer.
-_STEP, _JOIN = 60_000, 400
+_STEP, _JOIN = 400_000, 400
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -70,24 +70,25 @@ class ChunkEncoder:
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
-        held: list[tuple[list[str], list[bytes | None]]] = []
+        held: list[list[str]] = []
         chars = 0
         for text in texts:
-            chunks = _CHUNK.findall(text)
-            held.append((chunks, list(map(self.cache.get, chunks))))
+            held.append(_CHUNK.findall(text))
             chars += len(text)
             if chars >= _STEP:
                 yield from self._ids(held)
                 held, chars = [], 0
         yield from self._ids(held)
 
-    def _ids(self, held: list[tuple[list[str], list[bytes | None]]]) -> Iterator[bytes]:
-        cache = self.cache
-        self._learn({c for chunks, ids in held for c, i in zip(chunks, ids, strict=True) if i is None})
-        for chunks, ids in held:
-            yield b"".join([cache[c] if i is None else i for c, i in zip(chunks, ids, strict=True)])
+    def _ids(self, held: list[list[str]]) -> Iterator[bytes]:
+        distinct = set(itertools.chain.from_iterable(held))
+        self._learn(distinct.difference(self.cache))
+        # most chunks of a step come again in it, and a small table is faster than the cache
+        own = dict(zip(distinct, map(self.cache.__getitem__, distinct), strict=True))
+        for chunks in held:
+            yield b"".join(map(own.__getitem__, chunks))
         if self.held > self.most:  # short chunks come back more often
-            self.cache = {c: ids for c, ids in cache.items() if len(c) <= _SHORT}
+            self.cache = {c: ids for c, ids in self.cache.items() if len(c) <= _SHORT}
             self.held = sum(map(self._size, self.cache.items()))
             if self.held > self.most // 2:
                 self.cache, self.held = {}, 0
