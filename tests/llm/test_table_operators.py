@@ -134,6 +134,37 @@ def test_probabilities_against_the_formula(spark):
         assert math.isclose(r.tail, p[0], abs_tol=1e-9) and math.isclose(r.expected_grade, sum(p), abs_tol=1e-9)
 
 
+def test_classifier_query(spark, tmp_path):
+    df, ratings = rated(spark)
+    odd = spark.createDataFrame([(None, "plain honest words here"), (900, None), (901, "")], "doc_id long, text string")
+    df.drop("grade").union(odd).withColumn("weights", F.lit("clash")).write.parquet(f"{tmp_path}/documents.parquet")
+    ratings.select("doc_id", (F.col("grade") > 0).cast("int").alias("quality"), (F.col("grade") == 1).cast("int").alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    found = queries.op4_quality(spark, str(tmp_path)).collect()
+    wanted = {r.doc_id: r.grade == 2 for r in ratings.collect()}
+    assert len(found) == 303 and all(r.kept == wanted[r.doc_id] for r in found if r.doc_id in wanted)
+
+
+def test_fitting_reaches_the_maximum():
+    """No step away from the fitted weights and thresholds makes the ratings likelier."""
+    rng = np.random.default_rng(4)
+    rows = [np.unique(rng.integers(0, 6, 3)) for _ in range(200)]
+    grades = np.array([min(2, int((r < 2).sum() + rng.integers(0, 2))) for r in rows])
+    model = quality.fit_ordinal(rows, grades, 2, ridge=1e-4, screen=0.0)
+
+    def loss(weights, theta):
+        total = 0.0
+        for r, g in zip(rows, grades, strict=True):
+            above = [1.0, *(1 / (1 + math.exp(t - weights[r].sum())) for t in theta), 0.0]
+            total -= math.log(above[g] - above[g + 1]) / len(rows)
+        return total + 1e-4 / 2 * float(weights @ weights)
+
+    best = loss(model.weights.astype(np.float64), model.thresholds)
+    for k in range(40):
+        step = np.zeros_like(model.weights, dtype=np.float64)
+        step[:6] = rng.normal(size=6) * 0.05
+        assert loss(model.weights + step, model.thresholds + rng.normal(size=2) * 0.05) > best - 1e-5
+
+
 def test_classifier_without_ratings(spark):
     df, ratings = rated(spark, 6)
     model = quality.fit(df, ratings.where("false"), F.col("grade"), 2)

@@ -372,6 +372,17 @@ def test_backoff_against_brute_force(spark):
         assert np.allclose(own, brute(word), atol=1e-5)
 
 
+def test_language_query(spark, tmp_path):
+    extra = spark.createDataFrame([(1000, None, "en"), (1001, "123", None), (None, "the cat", None), (1002, "die katze", None)], "doc_id long, text string, lang string")
+    samples(spark).union(extra).withColumn("score", F.lit("clash")).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op8_language_id(spark, str(tmp_path)).collect()
+    assert len(found) == 64 and [f for f in ("doc_id", "held_out", "lang_pred", "score") if f in found[0]] == list(found[0].asDict())
+    for r in found:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode() if r.doc_id is not None else b"") % 4 == 2) and 0 <= r.score <= 1
+    by = {r.doc_id: r.lang_pred for r in found}
+    assert (by[1000], by[1001], by[1002], by[None]) == ("und", "und", "de", "en")
+
+
 def test_a_full_cache_changes_nothing(spark, monkeypatch):
     model = language_id.fit(samples(spark))
     texts = ["die katze " * 40, "le chat dormait " * 30, None, "unseen words of many kinds " * 5, "the mat"]
