@@ -1,4 +1,4 @@
-"""Stata's ``.dta`` files, versions 117 to 119 to read and 118 to write, by the published description of the format."""
+"""Stata's ``.dta`` files, releases 104 to 119 to read and 118 to write, by the published descriptions of the format."""
 
 from __future__ import annotations
 
@@ -25,6 +25,12 @@ _LAYOUT = {  # bytes of a name, format, label of a variable
 }
 #: The code of ``.``, and the distance to ``.a``, ``.b``, ..., as unsigned numbers.
 _DOT = {"byte": (101, 1), "int": (32_741, 1), "long": (2_147_483_621, 1), "float": (0x7F000000, 0x800), "double": (0x7FE0000000000000, 0x10000000000)}
+#: Before release 113 there was one missing value, and it stood one higher.
+_OLD_DOT = _DOT | {"byte": (127, 1), "int": (32_767, 1), "long": (2_147_483_647, 1)}
+_OLD = (104, 105, 108, 111, 113, 114, 115)
+#: Types of variables in releases 111 to 115, and the letters of those before; others are the bytes of a text.
+_OLD_TYPES = {251: ("byte", 1), 252: ("int", 2), 253: ("long", 4), 254: ("float", 4), 255: ("double", 8)}
+_LETTERS = {ord(letter): shape for letter, shape in zip("bilfd", _OLD_TYPES.values(), strict=True)}
 _DTYPE = {"byte": "i1", "int": "i2", "long": "i4", "float": "f4", "double": "f8"}
 _BITS = {"float": "u4", "double": "u8"}
 
@@ -59,6 +65,9 @@ def read_dictionary(file: BinaryIO, encoding: str | None = None) -> Dictionary:
     """Header, names, formats and labels; the position of the file is lost."""
     c = _Cursor(file)
     start = file.tell()
+    if (release := c.take(1)[0]) in _OLD:
+        return _old_dictionary(c, release, encoding)
+    file.seek(start)
     c.tag("stata_dta"), c.tag("header"), c.tag("release")
     try:
         version = int(c.take(3))
@@ -130,18 +139,75 @@ def _value_labels(c: _Cursor, name: int) -> dict[str, list[dict]]:
     c.tag("value_labels")
     while c.take(5) == b"<lbl>":
         c.number("I")
-        title = c.text(name)
-        c.take(3)
-        n, size = c.number("I"), c.number("I")
-        at = [c.number("I") for _ in range(n)]
-        values = [c.number("i") for _ in range(n)]
-        texts = c.take(size)
+        title, codes = _label_table(c, name)
         c.tag("/lbl")
-        dot = _DOT["long"][0]
-        found[title] = [{"value": chr(96 + v - dot) if dot < v <= dot + 26 else v, "label": c.words(texts[o:])} for v, o in sorted(zip(values, at, strict=True))]
+        found[title] = codes
     return found
 
 
+def _label_table(c: _Cursor, name: int) -> tuple[str, list[dict]]:
+    title = c.text(name)
+    c.take(3)
+    n, size = c.number("I"), c.number("I")
+    at = [c.number("I") for _ in range(n)]
+    values = [c.number("i") for _ in range(n)]
+    texts = c.take(size)
+    dot = _DOT["long"][0]
+    return title, [{"value": chr(96 + v - dot) if dot < v <= dot + 26 else v, "label": c.words(texts[o:])} for v, o in sorted(zip(values, at, strict=True))]
+
+
+def _old_dictionary(c: _Cursor, release: int, encoding: str | None) -> Dictionary:
+    """Of a release up to 115, where all has a fixed place and labels of values stand behind the rows."""
+    c.encoding, warned = known_encoding(encoding or "cp1252", "cp1252")
+    c.order = ">" if c.take(1) == b"\1" else "<"
+    c.take(2)
+    k, n = c.number("H"), c.number("I")
+    name, title = (33 if release > 108 else 9), (81 if release > 105 else 32)
+    file_label = c.text(title)
+    if release > 104:
+        c.text(18)  # when it was written
+    codes = c.take(k)
+    names = [c.text(name) for _ in range(k)]
+    c.take(2 * (k + 1))
+    formats = [c.text(49 if release > 113 else 12 if release > 104 else 7) for _ in range(k)]
+    sets = [c.text(name) for _ in range(k)]
+    labels = [c.text(title) for _ in range(k)]
+    notes: dict[int, str] = {}
+    while release > 104:
+        kind, size = c.number("B"), c.number("I" if release > 108 else "H")
+        if not kind and not size:
+            break
+        body = c.take(size)
+        owner, key, text = c.words(body[:name]), c.words(body[name : 2 * name]), c.words(body[2 * name :])
+        if owner == "_dta" and key[:4] == "note" and key[4:].isdigit() and key != "note0":
+            notes[int(key[4:])] = text
+    variables, at = [], 0
+    for i, code in enumerate(codes):
+        kind, size = (_OLD_TYPES if release > 108 else _LETTERS).get(code, ("string", code if release > 108 else code - 127))
+        if kind == "string" and not 0 < size <= 244:
+            raise StatError(f"variable {names[i]!r} has the unknown type {code}")
+        variables.append(Variable(names[i] or f"V{i}", kind, size, at))
+        at += size
+    metadata = Metadata(
+        variable_labels={v.name: x for v, x in zip(variables, labels, strict=True) if x},
+        formats={v.name: x for v, x in zip(variables, formats, strict=True) if x},
+        storage_widths={v.name: v.width for v in variables},
+        file_label=file_label or None,
+        notes=[notes[i] for i in sorted(notes)],
+    )
+    data_start = c.file.tell()
+    if release > 105:
+        c.file.seek(data_start + n * at)
+        found = {}
+        while len(exactly(c.file, 4)) == 4:  # the length of the next table
+            of, codes_of = _label_table(c, name)
+            found[of] = codes_of
+        metadata.value_labels = {v.name: [dict(x) for x in found[s]] for v, s in zip(variables, sets, strict=True) if s in found}
+    elif any(sets):
+        warned = [*warned, f"labels of values are not read from release {release} of .dta"]
+    return Dictionary("dta", variables, metadata, n, at, data_start, c.encoding, c.order, version=release, warnings=warned)
+
+
 def _long_strings(file: BinaryIO, d: Dictionary) -> dict[bytes, str]:
     """Long strings by their references as they stand in the rows."""
     file.seek(d.long_strings[0])
@@ -170,6 +236,7 @@ def read_rows(file: BinaryIO, d: Dictionary, names: list[str], first: int, count
     by_name = {v.name: v for v in d.variables}
     wanted = [by_name[n] for n in names]
     texts = _long_strings(file, d) if any(v.long_string for v in wanted) else {}
+    dots = _DOT if d.version > 112 else _OLD_DOT
     dtype = np.dtype({"names": [f"f{i}" for i in range(len(wanted))], "formats": [f"S{v.width}" if v.kind == "string" else d.order + _DTYPE[v.kind] for v in wanted], "offsets": [v.start for v in wanted], "itemsize": d.row_size})
     file.seek(d.data_start + first * d.row_size)
     while count > 0:
@@ -186,7 +253,7 @@ def read_rows(file: BinaryIO, d: Dictionary, names: list[str], first: int, count
                 arrays.append(strings(np.array([x.split(b"\0", 1)[0] for x in table[f"f{i}"].tolist()], dtype=object), d.encoding))
             else:
                 values = table[f"f{i}"]
-                dot, step = _DOT[v.kind]
+                dot, step = dots[v.kind]
                 code = values.astype(values.dtype.newbyteorder("=")).view(_BITS[v.kind]).astype(np.uint64) if v.kind in _BITS else values.astype(np.int64)
                 missing = (code >= dot) & (code < 1 << (np.dtype(_BITS[v.kind]).itemsize * 8 - 1)) if v.kind in _BITS else code >= dot
                 arrays.append(pa.array(values.astype(values.dtype.newbyteorder("=")), KINDS[v.kind][1], mask=missing))

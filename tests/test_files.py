@@ -357,3 +357,50 @@ def test_a_folder_of_parts_reads_as_one_table(spark, tmp_path, kind, compression
     (tmp_path / "none").mkdir()
     with pytest.raises(sl.StatError, match="no part files"):
         reader(kind)(spark, tmp_path / "none")
+
+
+def _old_file(release, order, rows):
+    """A file of an old release with an int, a double and a text of three bytes; the int has the labels ``yn``."""
+    late = release > 108
+    name, title, form = (33 if late else 9), (81 if release > 105 else 32), (49 if release > 113 else 12 if release > 104 else 7)
+    field = lambda text, size: text.encode("cp1252").ljust(size, b"\0")
+    out = bytes([release, 1 if order == ">" else 2, 1, 0]) + struct.pack(order + "HI", 3, len(rows)) + field("Old", title)
+    out += field("01 Jan 1999 12:00", 18) if release > 104 else b""
+    out += bytes([252, 255, 3]) if late else b"id" + bytes([130])
+    out += b"".join(field(n, name) for n in ("code", "score", "word")) + b"\0" * 8
+    out += b"".join(field(f, form) for f in ("%8.0g", "%9.0g", "%3s"))
+    out += field("yn", name) + b"\0" * (2 * name) + field("The code", title) + b"\0" * (2 * title)
+    if release > 104:
+        note = field("_dta", name) + field("note1", name) + b"said\0"
+        out += b"\1" + struct.pack(order + ("I" if late else "H"), len(note)) + note + b"\0" * (5 if late else 3)
+    out += b"".join(struct.pack(order + "hd", code, score) + field(word, 3) for code, score, word in rows)
+    if release > 105:
+        table = struct.pack(order + "II2I2i", 2, 7, 0, 4, 1, 2) + b"yes\0no\0"
+        out += struct.pack(order + "I", len(table)) + field("yn", name) + b"\0" * 3 + table
+    return out
+
+
+@pytest.mark.parametrize("release", [104, 105, 108, 111, 113, 114, 115])
+@pytest.mark.parametrize("order", "<>")
+def test_old_releases(spark, tmp_path, release, order):
+    nothing = 32_741 if release > 112 else 32_767
+    path = tmp_path / "old.dta"
+    path.write_bytes(_old_file(release, order, [(1, 0.5, "é"), (2, 2.0**1023, "abc"), (nothing, -1.0, ""), (32_740, 0.0, "x")]))
+    if release > 105:
+        df, meta = sl.read_dta(spark, path)
+        assert meta.value_labels == {"code": [{"value": 1, "label": "yes"}, {"value": 2, "label": "no"}]}
+    else:
+        with pytest.warns(sl.StatWarning, match="labels of values"):
+            df, meta = sl.read_dta(spark, path)
+    assert [tuple(r) for r in df.collect()] == [(1, 0.5, "é"), (2, None, "abc"), (None, -1.0, ""), (32_740, 0.0, "x")]
+    assert df.schema.simpleString() == "struct<code:smallint,score:double,word:string>" and meta.file_label == "Old"
+    assert meta.variable_labels == {"code": "The code"} and meta.notes == (["said"] if release > 104 else [])
+    assert [tuple(r) for r in sl.read_dta(spark, path, row_offset=1, row_limit=1, columns=["word"])[0].collect()] == [("abc",)]
+
+
+def test_old_releases_of_pandas(spark, tmp_path):
+    frame = pd.DataFrame({"a": np.array([1, -5, 100], dtype="int8"), "b": [1.5, np.nan, -2.0], "c": ["x", "", "long text"], "d": pd.Categorical(["u", "v", "u"])})
+    frame.to_stata(tmp_path / "p.dta", version=114, write_index=False, variable_labels={"b": "A number"})
+    df, meta = sl.read_dta(spark, tmp_path / "p.dta")
+    assert [tuple(r) for r in df.collect()] == [(1, 1.5, "x", 0), (-5, None, "", 1), (100, -2.0, "long text", 0)]
+    assert meta.value_labels == {"d": [{"value": 0, "label": "u"}, {"value": 1, "label": "v"}]} and meta.variable_labels == {"b": "A number"}
