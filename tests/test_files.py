@@ -404,3 +404,45 @@ def test_old_releases_of_pandas(spark, tmp_path):
     df, meta = sl.read_dta(spark, tmp_path / "p.dta")
     assert [tuple(r) for r in df.collect()] == [(1, 1.5, "x", 0), (-5, None, "", 1), (100, -2.0, "long text", 0)]
     assert meta.value_labels == {"d": [{"value": 0, "label": "u"}, {"value": 1, "label": "v"}]} and meta.variable_labels == {"b": "A number"}
+
+
+@pytest.mark.parametrize("kind,compression", KINDS[:2] + KINDS[3:])
+def test_spark_writes_folders(spark, survey, tmp_path, kind, compression):
+    sl.register(spark)
+    path = str(tmp_path / "out")
+    options = {"compression": compression} if kind == "sav" else {}
+    rows = survey.select("mychar", "mynum", "mydate", "dtime", "wide")
+    rows.repartition(3).write.format(kind).options(**options).mode("overwrite").save(path)
+    found, _ = reader(kind)(spark, path)
+    expected = {(*r[:4], r[6]) for r in EXPECTED}
+    assert {tuple(r) for r in found.collect()} == expected
+    rows.limit(2).write.format(kind).options(**options).mode("append").save(path)
+    assert spark.read.format(kind).load(path).count() == 7
+    rows.where("false").write.format(kind).options(**options).mode("overwrite").save(path)
+    again, _ = reader(kind)(spark, path)
+    assert again.count() == 0 and again.schema == found.schema
+    assert all(p.name.startswith("part-") for p in (tmp_path / "out").iterdir())
+
+
+def test_stored_batches_are_those_of_data_frames(spark, survey):
+    from statloom.formats import FAMILIES
+    from statloom.plans import write_plan
+    from statloom.plans.stored import by_type, stored
+
+    rows = survey.selectExpr("*", "named_struct('value', mynum, 'tag', case when mynum is null then 'c' end) tagged")
+    rows = rows.selectExpr("*", "make_dt_interval(1, 2, 3, 4.5) span", "cast(mylabl as int) whole", "cast(mylabl as tinyint) tiny", "mynum > 0 as yes", "null as nothing", "cast(myord as bigint) far")
+    for key, df in (("dta", rows), ("sav", rows.drop("tagged"))):
+        plan = write_plan.plan(df.schema, None, FAMILIES[key], by_type(df.schema))
+        table = df.toArrow()
+        batch = stored(table.combine_chunks().to_batches()[0], plan)
+        assert [str(t.dataType.simpleString()) for t in plan.encode(df).schema] == [str(t).replace("int8", "tinyint").replace("int16", "smallint").replace("int32", "int") for t in batch.schema.types]
+        for one, other in zip(batch.to_pylist(), plan.encode(df).toArrow().to_pylist(), strict=True):
+            assert {k: (one[k], other[k]) for k in one if one[k] != other[k]} == {}
+
+
+@pytest.mark.parametrize("kind,column", [("dta", "cast(9007199254740993 as bigint)"), ("sav", "cast(9007199254740993 as bigint)"), ("dta", "named_struct('value', cast(null as double), 'tag', 'A')"), ("dta", "named_struct('value', 1.0D, 'tag', 'a')")])
+def test_spark_refuses_what_is_not_exact(spark, tmp_path, kind, column):
+    sl.register(spark)
+    with pytest.raises(Exception, match="column 'x'"):
+        spark.sql(f"SELECT {column} AS x").write.format(kind).mode("append").save(str(tmp_path / "out"))
+    assert not list((tmp_path / "out").iterdir())
