@@ -8,13 +8,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import read_dta, read_sav, write_dta, write_sav
-from .formats import DTA, SAV, STATA_RANGES, Family
+from . import open_sav, read_dta, read_sav, register, write_dta, write_sav
+from .formats import DTA, SAV, Family
 from .functions import missing, temporal, text
 from .metadata import Metadata
 from .operators import profile, project
+from .plans import write_plan
 from .sources.files import shared_folder
-from .streaming import batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -129,9 +129,12 @@ def narrow_with_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_types(found, "l_quantity", "l_discount")
 
 
-@_query("SELECT p_partkey, p_retailprice::FLOAT::DOUBLE = p_retailprice AS exact FROM part")
+@_query("SELECT p_size, bool_and(p_retailprice::FLOAT::DOUBLE = p_retailprice) AS exact FROM part GROUP BY p_size")
 def float32_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "part").select("p_partkey", (F.col("p_retailprice").cast("float").cast("double") == F.col("p_retailprice")).alias("exact"))
+    """Whether the prices of each size are exact as float32, by the profile's own aggregate."""
+    rows = _table(spark, sf_dir, "part")
+    found = rows.groupBy("p_size").agg(*profile.profile_columns(rows["p_retailprice"], "price"))
+    return found.select("p_size", F.col("price_float32").alias("exact"))
 
 
 @_query("SELECT r_regionkey, NULL::DOUBLE AS nothing, 'tinyint' AS nothing_type FROM region")
@@ -225,32 +228,29 @@ def string_widths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.agg(*(text.width(rows[n]).alias(n) for n in names)).select(F.inline(F.array(*(F.struct(F.lit(n).alias("name"), F.col(n).alias("width")) for n in names))))
 
 
-_WIDENED = {"p_size": "part", "l_linenumber": "lineitem", "c_nationkey": "customer"}
+#: Columns of 1 to 50 and 1 to 7 in several types and, shifted, near the ends of these.
+_WIDENED = {"small": ("p_size", "tinyint", 0), "edge": ("p_size", "tinyint", 70), "wide": ("p_size", "smallint", 32_600), "beyond": ("p_size", "smallint", 32_717), "whole": ("p_size", "int", 0), "far": ("p_size", "int", 2_147_483_590)}
+_STATA_SQL = """
+SELECT name, low, high, CASE
+  WHEN spark = 'tinyint' AND low >= -127 AND high <= 100 THEN 'byte'
+  WHEN spark <> 'int' AND low >= -32767 AND high <= 32740 THEN 'int'
+  WHEN low >= -2147483647 AND high <= 2147483620 THEN 'long' ELSE 'double' END AS stored
+FROM ({})"""
 
 
-@_query(
-    " UNION ALL ".join(
-        f"SELECT '{c}' AS name, min({c})::BIGINT AS low, max({c})::BIGINT AS high, CASE WHEN min({c}) >= -2147483647 AND max({c}) <= 2147483620 THEN 'long' ELSE 'double' END AS stored FROM {t}" for c, t in _WIDENED.items()
-    )
-)
+@_query(_STATA_SQL.format(" UNION ALL ".join(f"SELECT '{n}' AS name, '{t}' AS spark, min({c})::BIGINT + {by} AS low, max({c})::BIGINT + {by} AS high FROM part" for n, (c, t, by) in _WIDENED.items())))
 def stata_widen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What Stata type integer columns need; never one narrower than their own."""
-    lo, hi = STATA_RANGES["int"]
-    found = None
-    for column, table in _WIDENED.items():
-        one = _table(spark, sf_dir, table).agg(F.min(column).cast("long").alias("low"), F.max(column).cast("long").alias("high"))
-        one = one.select(F.lit(column).alias("name"), "low", "high", F.when((F.col("low") >= lo) & (F.col("high") <= hi), "long").otherwise("double").alias("stored"))
-        found = one if found is None else found.union(one)
-    return found
+    """What the planner stores integers as; never narrower than their own type."""
+    rows = _table(spark, sf_dir, "part").select(*((F.col(c) + by).cast(t).alias(n) for n, (c, t, by) in _WIDENED.items()))
+    measured = write_plan.measure(rows)
+    columns = write_plan.plan(rows.schema, None, DTA, measured).columns
+    return spark.createDataFrame([(p.name, *measured.ranges[p.name], p.stored) for p in columns], "name string, low long, high long, stored string")
 
 
-@_query("SELECT doc_id, true AS cut, strlen(text) > 40 AS longer FROM documents WHERE text IS NOT NULL")
+@_query("SELECT doc_id, left(text, list_max(list_filter(range(41), lambda n: strlen(left(text, n)) <= 40))) AS part FROM documents")
 def utf8_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts cut to 40 bytes: never more bytes, always a beginning, and less than four bytes short of it."""
-    rows = _table(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", "text", text.cut_utf8(F.col("text"), 40).alias("part"))
-    size = F.octet_length("part")
-    right = (size <= 40) & F.startswith("text", "part") & ((size > 36) | (F.col("text") == F.col("part")))
-    return rows.select("doc_id", right.alias("cut"), (F.octet_length("text") > 40).alias("longer"))
+    """Texts cut to 40 bytes, between characters."""
+    return _table(spark, sf_dir, "documents").select("doc_id", text.cut_utf8(F.col("text"), 40).alias("part"))
 
 
 @_query("SELECT p_partkey AS v1_key, p_name AS p_name FROM part")
@@ -273,28 +273,6 @@ def slice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project.rows(_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", offset=1000, limit=500)
 
 
-@_query("SELECT batch, count(*) AS rows FROM (SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) // 4096 AS batch FROM orders) GROUP BY batch")
-def batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = project.row_numbers(_table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey")
-    return batches.batch_numbers(rows, "row", 4096)
-
-
-_STATUS = [("F", "Finished"), ("O", "Open"), ("P", "Pending")]
-
-
-@_query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'Finished' WHEN 'O' THEN 'Open' WHEN 'P' THEN 'Pending' END AS status FROM orders")
-def value_labels_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = F.create_map(*(F.lit(x) for pair in _STATUS for x in pair))
-    return _table(spark, sf_dir, "orders").select("o_orderkey", F.try_element_at(labels, F.col("o_orderstatus")).alias("status"))
-
-
-@_query("SELECT o_orderstatus AS code, CASE o_orderstatus WHEN 'F' THEN 'Finished' WHEN 'O' THEN 'Open' WHEN 'P' THEN 'Pending' END AS label, count(*) AS n FROM orders GROUP BY o_orderstatus")
-def dictionary_of_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = F.create_map(*(F.lit(x) for pair in _STATUS for x in pair))
-    found = _table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("code")).agg(F.count("*").alias("n"))
-    return found.select("code", F.try_element_at(labels, F.col("code")).alias("label"), "n")
-
-
 # ---- files: written and read again
 
 
@@ -350,3 +328,63 @@ def dta_tagged_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sav_to_dta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file of one family read and written as one of the other."""
     return _through(spark, _through(spark, _table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), "sav"), "dta")
+
+
+@_query("SELECT o_orderkey::DOUBLE AS o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 500 OFFSET 1000")
+def dta_rows_of_a_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reader's own offset and limit."""
+    return _through(spark, _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").sort("o_orderkey"), "dta", read={"row_offset": 1000, "row_limit": 500})
+
+
+@_query("SELECT batch, count(*) AS rows, min(o_orderkey)::DOUBLE AS first FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 4096 AS batch FROM orders) GROUP BY batch")
+def batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of a compressed file, as its reader hands them over."""
+    path = os.path.join(shared_folder(spark), f"statloom-{uuid.uuid4().hex}.sav")
+    write_sav(path, _table(spark, sf_dir, "orders").select("o_orderkey").sort("o_orderkey"), compression="rows")
+    found: list[tuple[int, int, float]] = []
+    open_sav(spark, path).read_batches(lambda b: found.append((len(found), b.num_rows, b.column(0)[0].as_py())), batch_rows=4096)
+    return spark.createDataFrame(found, "batch long, rows long, first double")
+
+
+_STATUS = [("F", "Finished"), ("O", "Open"), ("P", "Pending")]
+_STATUS_SQL = "CASE o_orderstatus WHEN 'F' THEN 'Finished' WHEN 'O' THEN 'Open' WHEN 'P' THEN 'Pending' END"
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
+    """Orders from a file whose dictionary labels their status, and the label by that dictionary."""
+    path = os.path.join(shared_folder(spark), f"statloom-{uuid.uuid4().hex}.sav")
+    codes = [{"value": v, "label": x} for v, x in _STATUS]
+    write_sav(path, _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), Metadata(value_labels={"o_orderstatus": codes}))
+    rows, meta = read_sav(spark, path)
+    pairs = [x for c in meta.value_labels["o_orderstatus"] for x in (F.lit(c["value"]), F.lit(c["label"]))]
+    return rows, F.try_element_at(F.create_map(*pairs), rows["o_orderstatus"])
+
+
+@_query(f"SELECT o_orderkey::DOUBLE AS o_orderkey, {_STATUS_SQL} AS status FROM orders")
+def value_labels_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, label = _labelled(spark, sf_dir)
+    return rows.select("o_orderkey", label.alias("status"))
+
+
+@_query(f"SELECT o_orderstatus AS code, {_STATUS_SQL} AS label, count(*) AS n FROM orders GROUP BY o_orderstatus")
+def dictionary_of_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, label = _labelled(spark, sf_dir)
+    return rows.groupBy(rows["o_orderstatus"].alias("code"), label.alias("label")).agg(F.count("*").alias("n"))
+
+
+def _by_format(spark: SparkSession, df: DataFrame, kind: str, **options: str) -> DataFrame:
+    """Written and read by Spark's own interface."""
+    register(spark)
+    path = os.path.join(shared_folder(spark), f"statloom-{uuid.uuid4().hex}.{kind}")
+    df.write.format(kind).options(**options).mode("append").save(path)
+    return spark.read.format(kind).load(path)
+
+
+@_query("SELECT o_orderkey::DOUBLE AS o_orderkey, o_orderstatus, (o_orderdate::DATE - DATE '1960-01-01')::INTEGER AS day FROM orders")
+def dta_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_format(spark, _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", _date("o_orderdate").alias("day")).repartition(4), "dta")
+
+
+@_query("SELECT o_orderkey::DOUBLE AS o_orderkey, o_orderstatus, (o_orderdate::DATE - DATE '1582-10-14') * 86400.0::DOUBLE AS day FROM orders")
+def sav_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_format(spark, _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", _date("o_orderdate").alias("day")).repartition(4), "sav", compression="rows")
