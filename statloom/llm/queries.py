@@ -138,6 +138,72 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+# ---- what SQL can say of queries that it can't express whole
+
+
+def license_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and places of the base phrases; -1 where there is no place."""
+    return op2_licenses(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").na.fill(-1, ["first_word", "last_word"])
+
+
+LICENSE_BASE = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+places AS (
+  SELECT doc_id, len(w) AS n_words,
+    list_filter(range(len(w)), lambda i: w[i+1] = 'mit' AND w[i+2] = 'license') AS mit,
+    list_filter(range(len(w)), lambda i: w[i+1] = 'apache' AND w[i+2] = 'license') AS apache,
+    list_filter(range(len(w)), lambda i: w[i+1] = 'general' AND w[i+2] = 'public' AND w[i+3] = 'license') AS gpl
+  FROM words)
+SELECT doc_id, n_words, len(mit) + len(apache) + len(gpl) AS n_base,
+  coalesce(list_min(list_concat(mit, apache, gpl)), -1) AS first_word, coalesce(list_max(list_concat(mit, apache, gpl)), -1) AS last_word,
+  concat_ws(',', CASE WHEN len(apache) > 0 THEN 'apache' END, CASE WHEN len(gpl) > 0 THEN 'gpl' END, CASE WHEN len(mit) > 0 THEN 'mit' END) AS base_labels
+FROM places
+"""
+
+
+def shard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes of the groups of equal texts that were put together, and in how many shards each lies."""
+    found = op3_sharding(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("text_sha256")), "doc_id")
+    return found.groupBy("text_sha256").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), F.countDistinct("shard").alias("shards"))
+
+
+SHARD_GROUPS = """
+SELECT sha256(text) AS text_sha256, count(*) AS n, sum(strlen(coalesce(text, '')) + 1)::BIGINT AS bytes, 1::BIGINT AS shards
+FROM documents WHERE doc_id IS NOT NULL GROUP BY text
+"""
+
+
+def language_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents are held out, and which can have no language."""
+    return op8_language_id(spark, sf_dir).select("doc_id", "held_out", (F.col("lang_pred") == "und").alias("undetermined"))
+
+
+# a CRC goes through the bits of the digits, the lowest of each first
+LANGUAGE_MARKS = r"""
+WITH bits AS (
+  SELECT doc_id, text, flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: list_transform(range(8), lambda k: (ascii(ch) >> k) & 1))) AS b
+  FROM documents),
+crc AS (
+  SELECT doc_id, text, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, bit: xor(c >> 1, (xor(c, bit) & 1) * 3988292384::BIGINT)), 4294967295::BIGINT) AS c
+  FROM bits)
+SELECT doc_id, c % 4 = 2 AS held_out, text IS NULL OR NOT regexp_matches(text, '\p{L}') AS undetermined FROM crc
+"""
+
+
+def edited_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_fingerprint(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+EDITED_DOCUMENTS = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, coalesce(lead(coalesce(text, '')) OVER w, first_value(coalesce(text, '')) OVER w) AS next
+  FROM documents WINDOW w AS (ORDER BY doc_id))
+SELECT doc_id, length(text) AS n_chars, sha256(left(text, length(text) - length(text) // 2) || left(next, length(text) // 2)) AS edited_sha256
+FROM d
+"""
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_licenses": op2_licenses,
@@ -149,10 +215,18 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_minhash": op9_minhash,
     "op10_fingerprint": op10_fingerprint,
+    "license_base": license_base,
+    "shard_groups": shard_groups,
+    "language_marks": language_marks,
+    "edited_documents": edited_documents,
 }
 
 ORACLES: dict[str, str] = {
     "op1_chat": OP1,
     "op5_neighbours": OP5,
     "op9_minhash": OP9,
+    "license_base": LICENSE_BASE,
+    "shard_groups": SHARD_GROUPS,
+    "language_marks": LANGUAGE_MARKS,
+    "edited_documents": EDITED_DOCUMENTS,
 }
