@@ -35,7 +35,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left; with a small cache, as the executors hold more by now than in a run of its own."""
-    return queries.packed(docs, cache_bytes=48 << 20)
+    return queries.packed(docs, cache_bytes=24 << 20)
 
 
 STAGES = [("quality", good_quality), ("language", known_language), ("near_duplicates", one_of_each), ("packing", packed)]
