@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import uuid
 from collections.abc import Callable
 
@@ -276,8 +278,22 @@ def slice_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- files: written and read again
 
 
-def _through(spark: SparkSession, df: DataFrame, suffix: str, metadata: Metadata | None = None, write: dict | None = None, read: dict | None = None) -> DataFrame:
+def _removed(path: str) -> None:
+    if os.path.isdir(path):
+        shutil.rmtree(path, ignore_errors=True)
+    elif os.path.exists(path):
+        os.remove(path)
+
+
+def _place(spark: SparkSession, suffix: str) -> str:
+    """A path in the shared folder for a file that results are read from, so it goes when the driver ends."""
     path = os.path.join(shared_folder(spark), f"statloom-{uuid.uuid4().hex}.{suffix}")
+    atexit.register(_removed, path)
+    return path
+
+
+def _through(spark: SparkSession, df: DataFrame, suffix: str, metadata: Metadata | None = None, write: dict | None = None, read: dict | None = None) -> DataFrame:
+    path = _place(spark, suffix)
     (write_dta if suffix == "dta" else write_sav)(path, df, metadata, **(write or {}))
     return (read_dta if suffix == "dta" else read_sav)(spark, path, **(read or {}))[0]
 
@@ -339,7 +355,7 @@ def dta_rows_of_a_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("SELECT batch, count(*) AS rows, min(o_orderkey)::DOUBLE AS first FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 4096 AS batch FROM orders) GROUP BY batch")
 def batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches of a compressed file, as its reader hands them over."""
-    path = os.path.join(shared_folder(spark), f"statloom-{uuid.uuid4().hex}.sav")
+    path = _place(spark, "sav")
     write_sav(path, _table(spark, sf_dir, "orders").select("o_orderkey").sort("o_orderkey"), compression="rows")
     found: list[tuple[int, int, float]] = []
     open_sav(spark, path).read_batches(lambda b: found.append((len(found), b.num_rows, b.column(0)[0].as_py())), batch_rows=4096)
@@ -352,7 +368,7 @@ _STATUS_SQL = "CASE o_orderstatus WHEN 'F' THEN 'Finished' WHEN 'O' THEN 'Open'
 
 def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Column]:
     """Orders from a file whose dictionary labels their status, and the label by that dictionary."""
-    path = os.path.join(shared_folder(spark), f"statloom-{uuid.uuid4().hex}.sav")
+    path = _place(spark, "sav")
     codes = [{"value": v, "label": x} for v, x in _STATUS]
     write_sav(path, _table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), Metadata(value_labels={"o_orderstatus": codes}))
     rows, meta = read_sav(spark, path)
@@ -375,7 +391,7 @@ def dictionary_of_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _by_format(spark: SparkSession, df: DataFrame, kind: str, **options: str) -> DataFrame:
     """Written and read by Spark's own interface."""
     register(spark)
-    path = os.path.join(shared_folder(spark), f"statloom-{uuid.uuid4().hex}.{kind}")
+    path = _place(spark, kind)
     df.write.format(kind).options(**options).mode("append").save(path)
     return spark.read.format(kind).load(path)
 
